@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import history_queries, ingest_queries, matrix_queries  # noqa: F401  (registration side effects)
+from . import evaluation_queries, history_queries, ingest_queries, matrix_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
