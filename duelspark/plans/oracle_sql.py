@@ -147,3 +147,11 @@ def prep_prefix() -> str:
 
 def app_prefix(*extra: str) -> str:
     return with_views(CONTESTS_CTE, CLEANED_CTE, RATIOS_CTE, PREP_CTE, POOLED_CTE, APP_CTE, *extra)
+
+CONTEST_COLUMNS = (
+    "contest_id", "tourney_date", "match_num", "tourney_level", "match_source", "surface", "round", "best_of",
+    "score", "winner_id", "loser_id", "winner_name", "loser_name", "winner_rank", "loser_rank",
+    "winner_rank_points", "loser_rank_points", "winner_age", "loser_age", "winner_ht", "loser_ht",
+    "winner_hand", "loser_hand",
+    *[f"{s}_{c}" for s in ("w", "l") for c in ("svpt", "1stIn", "1stWon", "2ndWon", "bpSaved", "bpFaced", "ace", "df")],
+)
