@@ -7,6 +7,7 @@ side, so a prolific player costs one partial row per task, not a hot group).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
@@ -66,23 +67,28 @@ def _assembled(profiles: DataFrame, fields) -> DataFrame:
 
 
 def kmeans_sweep(profiles: DataFrame, s: Settings, fields=SERVE_FIELDS, restarts: int | None = None,
-                 max_iter: int = 300) -> list[Sweep]:
+                 max_iter: int = 300, parallel: int = 8) -> list[Sweep]:
     """ML2: for each K, ``restarts`` seeded fits, keep the lowest inertia
     (sum of squared distances). Input persisted once for all fits."""
     data = _assembled(profiles, fields).select("player_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    out = []
+    runs = [(k, s.seed + r) for k in s.k_range for r in range(restarts or s.kmeans_restarts)]
+
+    def fit(run):
+        k, seed = run
+        m = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol="features").fit(data)
+        return Sweep(k, m.summary.trainingCost, seed, m)
+
     try:
-        for k in s.k_range:
-            best = None
-            for r in range(restarts or s.kmeans_restarts):
-                seed = s.seed + r
-                m = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol="features").fit(data)
-                cost = m.summary.trainingCost
-                if best is None or cost < best.cost:
-                    best = Sweep(k, cost, seed, m)
-            out.append(best)
+        # independent fits are submitted concurrently (Spark schedules jobs
+        # from several driver threads); the choice below is order-independent
+        with ThreadPoolExecutor(max_workers=min(parallel, len(runs))) as pool:
+            fits = list(pool.map(fit, runs))
     finally:
         data.unpersist()
+    out = []
+    for k in s.k_range:
+        cands = [f for f in fits if f.k == k]  # seeds in ascending order: first lowest wins ties
+        out.append(min(cands, key=lambda f: (f.cost, f.seed)))
     return out
 
 
