@@ -1 +1,8 @@
-"""streaming."""
+"""Streaming.
+
+The reference has no stream source, watermark, trigger or state store: its
+rolling features are batch windows over history (see ``operators.history``).
+Nothing is built here; the package exists so that a future streaming source
+has a home. The one sequential operator (the rating walk) is a batch
+``mapInPandas`` pass, see ``operators.rating``.
+"""
