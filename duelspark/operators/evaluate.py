@@ -53,9 +53,9 @@ def ranked_points(df: DataFrame, keys: list[str], y: str, p: str, buckets: int =
             .drop("_nb", "_pb"))
 
 
-def auc_by(df: DataFrame, keys: list[str], y: str, p: str) -> DataFrame:
+def auc_by(df: DataFrame, keys: list[str], y: str, p: str, buckets: int = BUCKETS) -> DataFrame:
     """AGG8: exact ROC AUC with ties counted half, per key; NULL with one class."""
-    pts = ranked_points(df, keys, y, p)
+    pts = ranked_points(df, keys, y, p, buckets)
     num = (F.col("pos").cast("decimal(38,0)") * (F.col("neg_below") * 2 + F.col("neg")).cast("decimal(38,0)"))
     agg = pts.groupBy(*keys).agg(F.sum(num).alias("_num"), F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     auc = F.col("_num").cast("double") / (F.lit(2.0) * F.col("_P").cast("double") * F.col("_N").cast("double"))
