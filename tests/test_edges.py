@@ -157,3 +157,11 @@ def test_scalar_guards(spark):
     s = spark.createDataFrame([("Hard",), ("Mud",), (None,)], "s string")
     assert [x.p for x in s.select(X.in_domain_or("s", ("Hard", "Clay"), "Hard").alias("p")).collect()] == \
         ["Hard", "Hard", "Hard"]
+
+
+def test_exact_quantiles_terminate_on_heavy_duplicates(spark):
+    vals = [5.0] * 900 + [float(i) for i in range(100)] + [0.0, 1.0] * 200
+    df = spark.createDataFrame([(v, v % 2) for v in vals], "a double, b double")
+    got = exact_quantiles(df, ["a", "b"], [0.1, 0.5, 0.9], accuracy=50, max_collect=20)
+    for c, arr in (("a", np.array(vals)), ("b", np.array(vals) % 2)):
+        assert got[c] == pytest.approx(list(np.percentile(arr, [10, 50, 90])))
