@@ -19,8 +19,11 @@ Here no group grows with a player's row count:
 3. the fatigue RANGE frame and the as-of best ranking are block-level, so
    they ride on the block table of step 1 (union with the ranking rows).
 
-``method="window"`` is the textbook single-window formulation kept for small
-data and as an independent check in the tests.
+``method="window"`` is the textbook single-window formulation: one exchange
+on the player, all frames share it. ``method="auto"`` (the default) measures
+the largest per-player history with one partial aggregate (a single number
+reaches the driver) and uses the single window only when that group is at
+most ``window_group_limit`` rows, the chunked plan otherwise.
 """
 
 from __future__ import annotations
@@ -128,13 +131,22 @@ def _frames(s: Settings, fields) -> dict[str, tuple[Column, int]]:
     return fr
 
 
+def largest_history(app: DataFrame) -> int:
+    """Rows of the most active player (map-side partial counts, one number out)."""
+    return app.groupBy("player_id").count().agg(F.max("count")).first()[0] or 0
+
+
 def history_features(contests: DataFrame, rankings: DataFrame | None, s: Settings,
-                     method: str = "chunked", fields=SERVE_FIELDS) -> DataFrame:
+                     method: str = "auto", fields=SERVE_FIELDS) -> DataFrame:
     """Per (contest, side): player_id, global_form, surface_form, fatigue,
     avg_<ratio>..., peak_rank. Input: contests (any source, all levels)."""
     app = appearances(with_pool(contests, s), s, fields)
+    if method == "auto":
+        method = "window" if largest_history(app) <= s.window_group_limit else "chunked"
     if method == "window":
         return _history_windows(app, rankings, s, fields)
+    if method != "chunked":
+        raise ValueError(f"unknown method {method}")
     rk = ranking_days(rankings) if rankings is not None else None
     chunk = s.history_chunk_rows
     # surface sequence: per (player, surface)

@@ -45,6 +45,12 @@ def shape(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, accuracy: int = 10000) -> DataFrame:
     """AGG19: one row per column: count, unique, top, freq (strings), mean,
     std (sample), min, 25%, 50%, 75% (exact, linear), max (numbers)."""
+    from ..session import kept
+    with kept(df) as d:  # several passes below (SNK6)
+        return _describe(d, accuracy)
+
+
+def _describe(df: DataFrame, accuracy: int) -> DataFrame:
     spark = df.sparkSession
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     txt = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]

@@ -15,7 +15,7 @@ partition in ``mapInPandas`` over Arrow batches. State is one dict keyed by
 Limit, stated plainly: parallelism is the number of pools. A pool is walked by
 one task because its result is defined sequentially. Pass finer pools (extra
 key columns such as a league or region) when the data has them. The walk's
-output is checkpointed to the cluster's checkpoint folder so that a lost
+output is written once to the cluster's checkpoint folder so that a lost
 executor never forces the walk to run again.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import expected_score
-from ..session import cut_lineage
+from ..session import materialize
 from ..settings import Settings
 from .history import with_pool
 
@@ -69,7 +69,7 @@ def elo_ratings(contests: DataFrame, s: Settings, pool_cols: tuple[str, ...] = (
     ordered = (narrow.repartition(n, *pcols)
                .sortWithinPartitions(*pcols, "tourney_date", "match_num", "contest_id"))
     out = ordered.mapInPandas(_walker(s.elo_initial, s.elo_k, len(pcols)), ELO_SCHEMA)
-    return cut_lineage(out) if checkpoint else out
+    return materialize(out, "elo") if checkpoint else out
 
 
 def elo_expectation(elo: DataFrame) -> DataFrame:

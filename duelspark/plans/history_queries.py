@@ -15,8 +15,10 @@ _T = "ORDER BY tourney_date, match_num, contest_id"
 
 
 def _features(spark, sf_dir, with_rankings=True):
+    """History features over the cleaned table written once (the plan choice
+    and the windows both read it, instead of rebuilding the contests)."""
     rk = FixtureTables(spark, sf_dir).rankings() if with_rankings else None
-    return history.history_features(prepared(spark, sf_dir), rk, S)
+    return history.history_features(prepared(spark, sf_dir, True), rk, S)
 
 
 @register("appearances", O.app_prefix() + "SELECT contest_id, side, player_id, surface, won, wt, day FROM app")
@@ -72,6 +74,34 @@ def q_serve_form(spark, sf_dir):
                                                            *[f"avg_{f}" for f in SERVE_FIELDS]))
 
 
+_HIST_COLS = ("global_form", "surface_form", "fatigue", *[f"avg_{f}" for f in SERVE_FIELDS], "peak_rank")
+
+
+@register("history_chunked", O.app_prefix(O.RANKINGS_CTE) + f"""
+SELECT a.contest_id, a.side, a.player_id,
+       round(avg(won) OVER (PARTITION BY a.player_id {_T.replace('ORDER BY ', 'ORDER BY a.')} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 9) AS global_form,
+       round(avg(won) OVER (PARTITION BY a.player_id, a.surface {_T.replace('ORDER BY ', 'ORDER BY a.')} ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING), 9)
+         AS surface_form,
+       coalesce(sum(wt) OVER (PARTITION BY a.player_id ORDER BY day RANGE BETWEEN 14 PRECEDING AND 1 PRECEDING), 0)
+         + coalesce(sum(wt) OVER (PARTITION BY a.player_id, day ORDER BY a.match_num, a.contest_id
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fatigue,
+       """ + ", ".join(
+    f'round(avg("{f}") OVER (PARTITION BY a.player_id ORDER BY a.tourney_date, a.match_num, a.contest_id '
+    f'ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING), 9) AS avg_{f}' for f in SERVE_FIELDS) + """,
+       pk.peak_rank
+FROM app a LEFT JOIN (
+  SELECT q.player_id, q.tourney_date, min(r.rank) AS peak_rank
+  FROM (SELECT DISTINCT player_id, tourney_date FROM app) q
+  LEFT JOIN rankings r ON r.player_id = q.player_id AND r.ranking_date <= q.tourney_date
+  GROUP BY q.player_id, q.tourney_date) pk ON pk.player_id = a.player_id AND pk.tourney_date = a.tourney_date""")
+def q_history_chunked(spark, sf_dir):
+    """The skew-safe history plan forced on, with 64-row chunks so that every
+    player's sequence spans many chunks and halos (WIN1-WIN5, JOIN3 fused)."""
+    rk = FixtureTables(spark, sf_dir).rankings()
+    h = history.history_features(prepared(spark, sf_dir), rk, S.with_(history_chunk_rows=64), method="chunked")
+    return for_check(h.select("contest_id", "side", "player_id", *_HIST_COLS))
+
+
 @register("running_best", O.with_views(O.RANKINGS_CTE) + """
 SELECT player_id, ranking_date, rank,
        min(rank) OVER (PARTITION BY player_id ORDER BY ranking_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)

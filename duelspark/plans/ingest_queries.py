@@ -18,9 +18,10 @@ def contests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FixtureTables(spark, sf_dir).contests()
 
 
-def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stages 1-2 applied to the fixture contests."""
-    return clean.preprocess(contests(spark, sf_dir), S)
+def prepared(spark: SparkSession, sf_dir: str, materialize: bool = False) -> DataFrame:
+    """Stages 1-2 applied to the fixture contests (written once when several
+    consumers follow)."""
+    return clean.preprocess(contests(spark, sf_dir), S, materialize=materialize)
 
 
 @register("contests", O.contests_prefix() + "SELECT * FROM contests")

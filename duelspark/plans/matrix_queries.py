@@ -91,7 +91,7 @@ def _round_all(names) -> str:
 
 
 def _features(spark, sf_dir):
-    return M.pre_match(prepared(spark, sf_dir), FixtureTables(spark, sf_dir).rankings(), S)
+    return M.pre_match(prepared(spark, sf_dir, True), FixtureTables(spark, sf_dir).rankings(), S)
 
 
 _MF_DOUBLES = [f"{t}_{c}" for c in _DOUBLE_STATE for t in ("w", "l")]
@@ -125,7 +125,7 @@ def q_encode(spark, sf_dir):
 @register("feature_matrix", _prefix(_MF_SQL, _SW_SQL, _ENC_SQL) + f"SELECT * REPLACE ({_round_all(_SD_DOUBLES)}) FROM enc")
 def q_feature_matrix(spark, sf_dir):
     """Flagship: the whole stage-3 matrix (history, rating, as-of, swap, encodings)."""
-    return for_check(M.feature_matrix(prepared(spark, sf_dir), FixtureTables(spark, sf_dir).rankings(), S))
+    return for_check(M.feature_matrix(prepared(spark, sf_dir, True), FixtureTables(spark, sf_dir).rankings(), S))
 
 
 # A deterministic cluster rule derived from the supplier table (players without

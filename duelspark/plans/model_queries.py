@@ -4,7 +4,7 @@ medians and inspection. Fitted models are rows-only checks (no SQL twin).
 Expensive shared products (the K-Means sweep, the modelling table, the fitted
 grids) are computed once per Spark application and scale-factor directory,
 the way a stage writes its output once for the later stages; the modelling
-table is cut from its lineage by a reliable checkpoint.
+table is written once to the cluster's checkpoint folder.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from ..operators import matrix as M
 from ..operators import models as ML
 from ..operators import profiles as P
 from ..operators.stats import exact_medians
-from ..session import cut_lineage
+from ..session import materialize
 from ..settings import NUMERIC_FEATURES, SERVE_FIELDS
 from ..sources.fixtures import FixtureTables
 from . import oracle_sql as O
@@ -91,7 +91,7 @@ def _clusters(spark, sf_dir) -> DataFrame:
         sweep = _sweep(spark, sf_dir)
         k = P.pick_elbow(P.inertia_table(spark, sweep)).first()["k"]
         chosen = next(x for x in sweep if x.k == k)
-        return cut_lineage(P.assign_clusters(_profiles(spark, sf_dir), chosen.model))
+        return materialize(P.assign_clusters(_profiles(spark, sf_dir), chosen.model), "clusters")
     return _memo(spark, sf_dir, "clusters", build)
 
 
@@ -113,9 +113,9 @@ def _table(spark, sf_dir) -> DataFrame:
     written once to the checkpoint folder."""
     def build():
         fx = FixtureTables(spark, sf_dir)
-        m = M.feature_matrix(prepared(spark, sf_dir), fx.rankings(), S)
+        m = M.feature_matrix(prepared(spark, sf_dir, True), fx.rankings(), S)
         m = M.join_clusters(m, _clusters(spark, sf_dir).select("player_id", "cluster"), S)
-        return cut_lineage(m.withColumn("split", M.split_column(S)))
+        return materialize(m.withColumn("split", M.split_column(S)), "model_table")
     return _memo(spark, sf_dir, "table", build)
 
 
@@ -200,7 +200,7 @@ _MED_COLS = [*NUMERIC_FEATURES, *[f"surface_{v}" for v in S.surfaces], *[f"tourn
     f"round(median(CAST({c} AS double)), 9) AS {c}" for c in _MED_COLS) + " FROM enc WHERE tourney_date <= 19991231")
 def q_train_medians(spark, sf_dir):
     """AGG5: exact interpolated median of every model column over the training split."""
-    m = M.feature_matrix(prepared(spark, sf_dir), FixtureTables(spark, sf_dir).rankings(), S)
+    m = M.feature_matrix(prepared(spark, sf_dir, True), FixtureTables(spark, sf_dir).rankings(), S)
     train = m.where(M.split_column(S) == "train")
     return for_check(exact_medians(train, _MED_COLS))
 

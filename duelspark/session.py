@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,5 +54,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Stage boundary: write ``df`` once as Parquet under the cluster's
+    checkpoint folder and read it back. Unlike ``checkpoint()`` the result
+    keeps column pruning and filter pushdown for every later consumer, and
+    it survives the loss of any executor."""
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/duelspark/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def kept(df: DataFrame):
+    """Keep ``df`` (MEMORY_AND_DISK) across several actions inside the block;
+    release it afterwards only if this block was the one that kept it."""
+    from pyspark.storagelevel import StorageLevel
+    mine = not df.is_cached
+    if mine:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        if mine:
+            df.unpersist()
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
