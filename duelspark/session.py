@@ -31,7 +31,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a private folder is created."""
+    Only in local mode (tests) and only when the setting is absent a private
+    folder is created; on a cluster an absent setting is an error."""
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
@@ -43,7 +44,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset
             configured = None
     if not configured:
-        configured = tempfile.mkdtemp(prefix="duelspark-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (HDFS/S3/...) for "
+                               "checkpoints and stage boundaries; a machine-local folder does not "
+                               "survive the loss of an executor")
+        configured = tempfile.mkdtemp(prefix="duelspark-ckpt-")  # local mode (tests) only
     sc.setCheckpointDir(configured)
     return configured
 
