@@ -133,7 +133,7 @@ def _app_side(tag: str, full: str, won: str) -> str:
     return (f"SELECT contest_id, tourney_date, match_num, surface, tourney_level, '{tag}' AS side, "
             f"{full}_id AS player_id, {won} AS won, "
             "CASE WHEN tourney_level = '1' THEN 1.5::double ELSE 1.0::double END AS wt, "
-            "CAST(strptime(CAST(tourney_date AS varchar), '%Y%m%d') AS date) - DATE '1970-01-01' AS day, "
+            "CAST(CAST(strptime(CAST(tourney_date AS varchar), '%Y%m%d') AS date) - DATE '1970-01-01' AS INTEGER) AS day, "
             f"{ratios} FROM pooled")
 
 
