@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .frames import attach_row
 from ..functions.scalar import (calibration_bin, clip_prob, hard_label, is_upset, left_closed_bin,
                                 loser_prob, right_closed_bin, right_closed_edges, year_of)
 
@@ -29,9 +30,7 @@ def _c(x) -> Column:
 
 
 def _one_row_join(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate to every row: broadcast hash join on a
-    constant key (the broadcast side is one row by construction)."""
-    return df.withColumn("_k", F.lit(1)).join(F.broadcast(stats.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    return attach_row(df, stats)
 
 
 def ranked_points(df: DataFrame, keys: list[str], y: str, p: str, buckets: int = BUCKETS) -> DataFrame:

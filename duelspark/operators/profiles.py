@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..settings import SERVE_FIELDS, Settings
+from .frames import attach_row
 
 
 def career_profiles(prepared: DataFrame, fields=SERVE_FIELDS, until_date: int | None = None) -> DataFrame:
@@ -47,10 +48,10 @@ def standardize(df: DataFrame, cols, suffix: str = "") -> DataFrame:
     """ML1: z-scores with the population std (zero-variance column -> 0).
     Mean and std are a one-row aggregate attached by broadcast."""
     stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    x = df.withColumn("_k", F.lit(1)).join(F.broadcast(stats.withColumn("_k", F.lit(1))), "_k")
+    x = attach_row(df, stats)
     z = {f"{c}{suffix}": F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}"))
          .otherwise(F.lit(0.0)) for c in cols}
-    return x.withColumns(z).drop("_k", *[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
+    return x.withColumns(z).drop(*[f"_m_{c}" for c in cols], *[f"_s_{c}" for c in cols])
 
 
 @dataclass
@@ -102,7 +103,7 @@ def pick_elbow(curve: DataFrame) -> DataFrame:
     (k, inertia) curve; ties -> smaller K; zero-length line -> first K."""
     ends = curve.agg(F.min_by("inertia", "k").alias("_y1"), F.min("k").alias("_x1"),
                      F.max_by("inertia", "k").alias("_y2"), F.max("k").alias("_x2"))
-    x = curve.withColumn("_j", F.lit(1)).join(F.broadcast(ends.withColumn("_j", F.lit(1))), "_j")
+    x = attach_row(curve, ends)
     dx, dy = F.col("_x2") - F.col("_x1"), F.col("_y2") - F.col("_y1")
     length = F.sqrt(dx * dx + dy * dy)
     cross = F.abs(dx * (F.col("inertia") - F.col("_y1")) - dy * (F.col("k") - F.col("_x1")))

@@ -16,6 +16,7 @@ from ..operators import inspect as I
 from ..operators import matrix as M
 from ..operators import models as ML
 from ..operators import profiles as P
+from ..operators.frames import attach_row
 from ..operators.stats import exact_medians
 from ..session import materialize
 from ..settings import NUMERIC_FEATURES, SERVE_FIELDS
@@ -189,7 +190,7 @@ def q_model_description(spark, sf_dir):
     sizes = (tr.select(F.lit("train").alias("split")).unionByName(va.select(F.lit("val").alias("split")))
              .unionByName(te.select(F.lit("test").alias("split"))).groupBy("split").count())
     sizes = sizes.agg(F.map_from_entries(F.collect_list(F.struct("split", "count"))).alias("split_rows"))
-    return desc.withColumn("n_features", F.lit(len(_features(spark, sf_dir)))).join(sizes, how="left")
+    return attach_row(desc.withColumn("n_features", F.lit(len(_features(spark, sf_dir)))), sizes)
 
 
 # ------------------------------------------------------------ exact medians

@@ -104,7 +104,9 @@ cleaned AS (
   WHERE tourney_level IN ('1', '2', '3', '4')
     AND NOT (contains(upper(coalesce(score, '')), 'RET') OR contains(upper(coalesce(score, '')), 'W/O')
           OR contains(upper(coalesce(score, '')), 'DEF') OR contains(upper(coalesce(score, '')), 'ABN')
-          OR contains(upper(coalesce(score, '')), 'WO')))"""
+          OR contains(upper(coalesce(score, '')), 'WO'))
+    AND winner_id IS NOT NULL AND loser_id IS NOT NULL AND winner_id <> loser_id
+    AND try_strptime(CAST(tourney_date AS varchar), '%Y%m%d') IS NOT NULL)"""
 
 RATIOS_CTE = "\nrat AS (SELECT *" + _ratio_sql("w") + _ratio_sql("l") + "\n  FROM cleaned)"
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, evaluate as E, matrix as M, models as ML, profiles as P
+from ..operators.frames import attach_row
 from ..settings import Settings
 from ..sources import files
 
@@ -32,6 +33,7 @@ def ingest(spark: SparkSession, family_paths: dict[str, list[str]], out_dir: str
     if raw is None:
         return None
     files.write_table(files.with_season(clean.clean_contests(raw, s)), _p(out_dir, "cleaned"), ["season"])
+    files.write_table(clean.invalid_contests(raw, s), _p(out_dir, "rejected"))  # H9 side output
     if ranking_paths:
         rk = files.read_rankings(spark, ranking_paths)
         if rk is not None:
@@ -99,8 +101,9 @@ def model(spark: SparkSession, out_dir: str, s: Settings, grids: ML.Grids | None
     pred = spark.read.parquet(_p(out_dir, "test_predictions"))
     test_m = E.model_metrics(pred, MODEL_OUT, [])
     counts = table.groupBy("split").count()
-    doc = (test_m.agg(F.collect_list(F.struct("model", "n", "accuracy", "log_loss", "auc_roc")).alias("test_metrics"))
-           .join(counts.agg(F.map_from_entries(F.collect_list(F.struct("split", "count"))).alias("split_rows")))
+    doc = (attach_row(
+        test_m.agg(F.collect_list(F.struct("model", "n", "accuracy", "log_loss", "auc_roc")).alias("test_metrics")),
+        counts.agg(F.map_from_entries(F.collect_list(F.struct("split", "count"))).alias("split_rows")))
            .withColumn("feature_cols", F.array(*[F.lit(c) for c in feats]))
            .withColumn("val_metrics", F.lit(json.dumps({f.name: f.val_metrics for f in fitted})))
            .withColumn("chosen_params", F.lit(json.dumps({f.name: f.params for f in fitted}))))
@@ -129,9 +132,10 @@ def evaluate(spark: SparkSession, out_dir: str, s: Settings, prob: str = "xgb_pr
     files.write_small_csv(E.top_upsets(pred, prob), rep("top_upsets"))
     schema = files.read_document(spark, _p(out_dir, "model_schema"))
     cols = ["slice", "n", "accuracy", "log_loss", "auc_roc"]
-    summary = (by_surface.agg(F.collect_list(F.struct(*cols)).alias("metrics_by_surface"))
-               .join(by_level.agg(F.collect_list(F.struct(*cols)).alias("metrics_by_level")))
-               .join(schema.select(F.col("test_metrics").alias("test_metrics_all_models"),
-                                   F.col("val_metrics").alias("validation_metrics_all_models"),
-                                   "chosen_params", F.col("split_rows").alias("splits"))))
+    summary = attach_row(attach_row(
+        by_surface.agg(F.collect_list(F.struct(*cols)).alias("metrics_by_surface")),
+        by_level.agg(F.collect_list(F.struct(*cols)).alias("metrics_by_level"))),
+        schema.select(F.col("test_metrics").alias("test_metrics_all_models"),
+                      F.col("val_metrics").alias("validation_metrics_all_models"),
+                      "chosen_params", F.col("split_rows").alias("splits")))
     files.write_document(summary, _p(out_dir, "evaluation_summary"))

@@ -53,12 +53,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Stage boundary: write ``df`` once as Parquet under the cluster's
     checkpoint folder and read it back. Unlike ``checkpoint()`` the result

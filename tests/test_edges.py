@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from duelspark.functions import scalar as X
 from duelspark.operators import evaluate as E
+from duelspark.operators.frames import attach_row
 from duelspark.operators import profiles as P
 from duelspark.operators.models import stop_round
 from duelspark.operators.stats import exact_quantiles
@@ -92,7 +93,7 @@ def test_calibration_edges(spark):
 def test_right_closed_bins_match_cut(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     st = df.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    got = [r.b for r in df.crossJoin(st).select(X.right_closed_bin("x", "lo", "hi", 10).alias("b")).collect()]
+    got = [r.b for r in attach_row(df, st).select(X.right_closed_bin("x", "lo", "hi", 10).alias("b")).collect()]
     want = pd.cut(pd.Series(values), bins=10, labels=False).tolist()
     assert got == want
 
@@ -101,7 +102,7 @@ def test_right_closed_bins_match_cut(spark, values):
 def test_left_closed_bins_match_histogram(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     st = df.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    got = np.bincount([r.b for r in df.crossJoin(st).select(X.left_closed_bin("x", "lo", "hi", 30).alias("b"))
+    got = np.bincount([r.b for r in attach_row(df, st).select(X.left_closed_bin("x", "lo", "hi", 30).alias("b"))
                        .collect()], minlength=30)
     want, _ = np.histogram(values, bins=30)
     assert got.tolist() == want.tolist()

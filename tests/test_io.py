@@ -37,8 +37,11 @@ def raw(tmpdir_path):
     _write(f"{d}/m_2002.csv", reordered, [
         "2,1,20020107,1,A,Grass,SF,3,W/O,Ann,R,1,Bea,L,170,8,,,,,T3",
     ])
-    _write(f"{d}/q_2000.csv", HEADER, [
-        "Q1,20000101,1,C,Hard,Q1,3,6-1 6-1,7,Gus,R,185,200,8,Hal,R,180,300,50,6,50,4",
+    _write(f"{d}/q_2000.csv", HEADER + ",minutes", [
+        "Q1,20000101,1,C,Hard,Q1,3,6-1 6-1,7,Gus,R,185,200,8,Hal,R,180,300,50,6,50,4,",
+        "Q1,20000101,2,C,Hard,Q1,3,6-1 6-1,9,Ivo,R,185,200,9,Ivo,R,180,300,50,6,50,4,",
+        "Q1,20000132,3,C,Hard,Q1,3,6-1 6-1,9,Ivo,R,185,200,10,Jan,R,180,300,50,6,50,4,",
+        "Q1,20000101,4,C,Hard,Q1,3,6-1 6-1,abc,Kim,R,185,200,10,Jan,R,180,300,50,6,50,4,",
     ])
     return d
 
@@ -48,7 +51,9 @@ def test_read_contests_by_name(spark, raw):
            "qual_chall": files.yearly_paths(raw, "q_{year}.csv", [2000, 2001])}  # 2001 absent
     df = files.read_contests(spark, fam)
     rows = {(r.match_source, r.tourney_date, r.match_num): r for r in df.collect()}
-    assert len(rows) == 6
+    assert len(rows) == 9
+    assert dict(df.dtypes)["minutes"] == "int"  # all-empty column: typed NULLs
+    assert df.where(F.col("minutes").isNotNull()).count() == 0
     # reordered file bound by name, not by position
     r = rows[("main", 20020107, 1)]
     assert (r.winner_id, r.loser_id, r.winner_name) == (1, 2, "Ann")
@@ -58,7 +63,17 @@ def test_read_contests_by_name(spark, raw):
     assert bad.w_ace is None and bad.winner_rank is None and bad.score is None
     assert dict(df.dtypes)["winner_ht"] == "double" and dict(df.dtypes)["w_ace"] == "int"
     assert dict(df.dtypes)["extra_col"] == "string"
-    assert df.select("contest_id").distinct().count() == 6
+    assert df.select("contest_id").distinct().count() == 9
+
+
+def test_invalid_rows_go_to_a_counted_side_output(spark, raw):
+    from duelspark.operators import clean
+    from duelspark.settings import Settings
+    s = Settings.reference()
+    df = files.read_contests(spark, {"qual_chall": [f"{raw}/q_2000.csv"]})
+    bad = {r.match_num: r.reason for r in clean.invalid_contests(df, s).collect()}
+    assert bad == {2: "winner equals loser", 3: "invalid date", 4: "missing player id"}
+    assert [r.match_num for r in clean.clean_contests(df, s).collect()] == [1]
 
 
 def test_common_only_keeps_intersection(spark, raw):
