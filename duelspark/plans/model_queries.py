@@ -142,9 +142,18 @@ def fitted(spark, sf_dir, name: str) -> ML.Fitted:
     return _memo(spark, sf_dir, f"fit:{name}", build)
 
 
+def _fit_all(spark, sf_dir, names) -> list[ML.Fitted]:
+    """Fit independent model families concurrently (one driver thread each;
+    the modelling table is built first, once)."""
+    from concurrent.futures import ThreadPoolExecutor
+    _table(spark, sf_dir)
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        return list(pool.map(lambda n: fitted(spark, sf_dir, n), names))
+
+
 def _scored(spark, sf_dir, names) -> DataFrame:
     test = _splits(spark, sf_dir)[2]
-    return ML.score(test, [fitted(spark, sf_dir, n) for n in names], {n: OUT[n] for n in names})
+    return ML.score(test, _fit_all(spark, sf_dir, names), {n: OUT[n] for n in names})
 
 
 @register("logistic")
@@ -183,8 +192,8 @@ def q_model_description(spark, sf_dir):
     import json
     tr, va, te = _splits(spark, sf_dir)
     rows = []
-    for n in OUT:
-        f = fitted(spark, sf_dir, n)
+    for f in _fit_all(spark, sf_dir, list(OUT)):
+        n = f.name
         rows.append((n, json.dumps(f.params, sort_keys=True), f.val_metrics["log_loss"], f.val_metrics["accuracy"]))
     desc = spark.createDataFrame(rows, "model string, params string, val_log_loss double, val_accuracy double")
     sizes = (tr.select(F.lit("train").alias("split")).unionByName(va.select(F.lit("val").alias("split")))

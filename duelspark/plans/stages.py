@@ -92,8 +92,10 @@ def model(spark: SparkSession, out_dir: str, s: Settings, grids: ML.Grids | None
     files.write_table(table, _p(out_dir, "model_table"))
     table = spark.read.parquet(_p(out_dir, "model_table"))
     tr, va, te = (table.where(F.col("split") == x) for x in ("train", "val", "test"))
-    fitted = [ML.fit_logistic(tr, va, feats, s, grids), ML.fit_forest(tr, va, feats, s, grids),
-              ML.fit_boosted(tr, va, feats, s, grids)]
+    from concurrent.futures import ThreadPoolExecutor
+    fitters = (ML.fit_logistic, ML.fit_forest, ML.fit_boosted)
+    with ThreadPoolExecutor(max_workers=3) as pool:  # independent families, concurrent jobs
+        fitted = list(pool.map(lambda fit: fit(tr, va, feats, s, grids), fitters))
     for f in fitted:
         ML.save(f, _p(out_dir, f"models/{f.name}"))
     pred = ML.score(te, fitted, MODEL_OUT)

@@ -66,3 +66,18 @@ def test_kmeans_elbow_finds_three_blobs(spark):
     assigned = P.assign_clusters(prof, next(x for x in sweep if x.k == 3).model)
     assert assigned.select("cluster").distinct().count() == 3
     assert P.centroids(assigned).count() == 3
+
+
+def test_first_trees_equals_prefix_fit(spark, separable):
+    """Cutting a boosted model to its first n trees predicts like a fit of n
+    rounds with the same seed (no subsampling)."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    tr = VectorAssembler(inputCols=["rank_diff"], outputCol="f").transform(separable.where(F.col("split") == "train"))
+    g = lambda n: GBTClassifier(featuresCol="f", labelCol="target", maxIter=n, maxDepth=3, seed=1)
+    cut = ML.first_trees(g(6).fit(tr), 3)
+    ref = g(3).fit(tr)
+    assert cut.getNumTrees == 3
+    a = [r.probability[1] for r in cut.transform(tr).select("probability").collect()]
+    b = [r.probability[1] for r in ref.transform(tr).select("probability").collect()]
+    assert a == pytest.approx(b, abs=1e-12)
