@@ -128,16 +128,17 @@ def q_feature_matrix(spark, sf_dir):
     return for_check(M.feature_matrix(prepared(spark, sf_dir, True), FixtureTables(spark, sf_dir).rankings(), S))
 
 
-# A deterministic cluster rule derived from the supplier table (players without
-# a cluster exercise the -1 fallback): cluster = nation key mod 3, none when
-# the supplier key ends in 7.
-_CLUSTER_SQL = ",\ncmap AS (SELECT s_suppkey AS player_id, s_nationkey % 3 AS cluster FROM supplier WHERE s_suppkey % 10 <> 7)"
+# A literal cluster map derived from the supplier table (the K-Means map is a
+# fitted model with no SQL twin): account-balance bands 0, 1, 2; suppliers
+# with a negative balance get no cluster, which exercises the -1 fallback.
+_CLUSTER_SQL = (",\ncmap AS (SELECT s_suppkey AS player_id, CASE WHEN s_acctbal < 3000 THEN 0 "
+                "WHEN s_acctbal < 6000 THEN 1 ELSE 2 END AS cluster FROM supplier WHERE s_acctbal >= 0)")
 
 
 def _cluster_map(spark, sf_dir):
     sup = FixtureTables(spark, sf_dir).table("supplier")
-    return sup.where(F.col("s_suppkey") % 10 != 7).select(F.col("s_suppkey").alias("player_id"),
-                                                          (F.col("s_nationkey") % 3).alias("cluster"))
+    band = F.when(F.col("s_acctbal") < 3000, 0).when(F.col("s_acctbal") < 6000, 1).otherwise(2)
+    return sup.where(F.col("s_acctbal") >= 0).select(F.col("s_suppkey").alias("player_id"), band.alias("cluster"))
 
 
 _CJ_SQL = _CLUSTER_SQL + """,
