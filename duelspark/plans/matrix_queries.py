@@ -154,7 +154,7 @@ _CJ_HOT = ", ".join(f'CAST(player{i}_cluster = {v} AS int) AS "player{i}_cluster
 def q_cluster_join(spark, sf_dir):
     """JOIN2 (left join of the cluster map, twice) + PVT2 (one-hot of observed values)."""
     m = M.swap_sides(M.main_draw(_features(spark, sf_dir), S), S)
-    out = M.join_clusters(m, _cluster_map(spark, sf_dir), S)
+    out = M.join_clusters(m, _cluster_map(spark, sf_dir), S, values=[-1, 0, 1, 2])  # the rule's domain
     hot = [c for c in out.columns if c.startswith(("player1_cluster", "player2_cluster"))]
     return out.select("contest_id", *hot)
 
