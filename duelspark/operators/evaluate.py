@@ -136,7 +136,7 @@ def binned_win_rate(pred: DataFrame, x: str, prob: str, y: str = "target", bins:
                     min_n: int = 20) -> DataFrame:
     """AGG15 + BIN1: equal-width right-closed bins over the data range of ``x``;
     observed rate, mean predicted, n, bin mid; bins under ``min_n`` dropped.
-    The range is a one-row aggregate attached by broadcast (no collect)."""
+    The range is a one-row aggregate attached as a scalar subquery (no collect, no join)."""
     base = pred.where(F.col(x).isNotNull())
     stats = base.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))
     b = _one_row_join(base, stats).withColumn("bin", right_closed_bin(x, "_lo", "_hi", bins))

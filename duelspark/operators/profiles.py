@@ -46,7 +46,7 @@ def career_profiles(prepared: DataFrame, fields=SERVE_FIELDS, until_date: int |
 
 def standardize(df: DataFrame, cols, suffix: str = "") -> DataFrame:
     """ML1: z-scores with the population std (zero-variance column -> 0).
-    Mean and std are a one-row aggregate attached by broadcast."""
+    Mean and std are a one-row aggregate attached as a scalar subquery."""
     stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
     x = attach_row(df, stats)
     z = {f"{c}{suffix}": F.when(F.col(f"_s_{c}") > 0, (F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}"))

@@ -19,7 +19,10 @@ EPS = "1e-6"
 
 
 def _pred(spark, sf_dir):
-    return FixtureTables(spark, sf_dir).predictions(S.seed)
+    """The scored table, written once (stage 5's output is stage 6's input), so
+    the many branches of an evaluation plan scan it instead of rebuilding it."""
+    from ..session import materialize
+    return materialize(FixtureTables(spark, sf_dir).predictions(S.seed), "predictions")
 
 
 def _pre(*ctes: str) -> str:
