@@ -51,7 +51,9 @@ _PROFILE_SQL = (",\nlng AS (" + _side_sql("w", "winner", 0) + " UNION ALL " + _s
 
 
 def _profiles(spark, sf_dir) -> DataFrame:
-    return P.career_profiles(prepared(spark, sf_dir))
+    # several consumers (statistics subquery, sweep, assignment): start from
+    # the cleaned table written once
+    return P.career_profiles(prepared(spark, sf_dir, True))
 
 
 @register("career_profile", O.prep_prefix().rstrip() + _PROFILE_SQL
