@@ -6,8 +6,10 @@ E = 1 / (1 + 10^((R_l - R_w)/400)).
 
 A contest needs the ratings its players left in their previous contest of the
 same pool, so the exact result is a true sequential chain within a pool; pools
-are independent. Plan: project six narrow columns, hash-partition by pool
-(explicit partition count, so AQE does not merge pools back together), sort
+are independent. Plan: project six narrow columns, place each pool in its own
+partition (``repartitionById`` over the known surface domain; hash
+partitioning with an explicit count for other pool keys, so AQE does not merge
+pools back together), sort
 within partitions (external sort, spills), then one streaming pass per
 partition in ``mapInPandas`` over Arrow batches. State is one dict keyed by
 (pool, player): memory O(players), never O(contests), and nothing is collected.
@@ -65,9 +67,13 @@ def elo_ratings(contests: DataFrame, s: Settings, pool_cols: tuple[str, ...] = (
     narrow = pooled.select("contest_id", "tourney_date", "match_num", "winner_id", "loser_id",
                            *[F.col(c).alias(f"_p{i}") for i, c in enumerate(pool_cols)])
     pcols = [f"_p{i}" for i in range(len(pool_cols))]
-    n = partitions or max(8, 4 * len(s.surfaces))
-    ordered = (narrow.repartition(n, *pcols)
-               .sortWithinPartitions(*pcols, "tourney_date", "match_num", "contest_id"))
+    if tuple(pool_cols) == ("surface",) and partitions is None:
+        # known pool domain (after the surface fallback): one partition per pool, by id
+        idx = F.array_position(F.array(*[F.lit(x) for x in s.surfaces]), F.col("_p0")).cast("int") - 1
+        placed = narrow.repartitionById(len(s.surfaces), idx)
+    else:
+        placed = narrow.repartition(partitions or max(8, 4 * len(s.surfaces)), *pcols)
+    ordered = placed.sortWithinPartitions(*pcols, "tourney_date", "match_num", "contest_id")
     out = ordered.mapInPandas(_walker(s.elo_initial, s.elo_k, len(pcols)), ELO_SCHEMA)
     return materialize(out, "elo") if checkpoint else out
 
