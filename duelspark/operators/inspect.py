@@ -42,15 +42,17 @@ def shape(df: DataFrame) -> DataFrame:
         "rows", F.lit(len(df.columns)).alias("columns"), F.lit(",".join(df.columns)).alias("column_names"))
 
 
-def describe(df: DataFrame, accuracy: int = 10000) -> DataFrame:
+def describe(df: DataFrame, accuracy: int = 10000, exact_distinct: bool = True) -> DataFrame:
     """AGG19: one row per column: count, unique, top, freq (strings), mean,
-    std (sample), min, 25%, 50%, 75% (exact, linear), max (numbers)."""
+    std (sample), min, 25%, 50%, 75% (exact, linear), max (numbers).
+    ``exact_distinct=False`` counts distinct values with HyperLogLog (the
+    option for very wide tables)."""
     from ..session import kept
     with kept(df) as d:  # several passes below (SNK6)
-        return _describe(d, accuracy)
+        return _describe(d, accuracy, exact_distinct)
 
 
-def _describe(df: DataFrame, accuracy: int) -> DataFrame:
+def _describe(df: DataFrame, accuracy: int, exact_distinct: bool = True) -> DataFrame:
     spark = df.sparkSession
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     txt = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
@@ -60,7 +62,8 @@ def _describe(df: DataFrame, accuracy: int) -> DataFrame:
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
     for c in txt:
-        aggs += [F.count(c).alias(f"{c}__n"), F.count_distinct(c).alias(f"{c}__u")]
+        distinct = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
+        aggs += [F.count(c).alias(f"{c}__n"), distinct.alias(f"{c}__u")]
     base = df.agg(*aggs).first() if aggs else None
     quart = exact_quantiles(df, num, list(QUARTILES), accuracy=accuracy) if num else {}
     rows = []

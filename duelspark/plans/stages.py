@@ -25,14 +25,19 @@ def _p(out_dir: str, name: str) -> str:
 
 def ingest(spark: SparkSession, family_paths: dict[str, list[str]], out_dir: str, s: Settings,
            ranking_paths: list[str] | None = None, players_path: str | None = None,
-           common_only: bool = True) -> DataFrame | None:
+           common_only: bool = True) -> dict | None:
     """Stage 1: read, tag, reconcile, clean and write the contests; rankings and
-    players pass through. Returns the per-family counts (AGG1-2) read back
-    from the written table, so the plan is not run twice."""
+    players pass through. Returns the row counts, total and per family
+    (AGG1-2), read from the written table (a one-column scan), so the
+    cleaning plan runs once."""
     raw = files.read_contests(spark, family_paths, common_only=common_only)
     if raw is None:
         return None
     files.write_table(files.with_season(clean.clean_contests(raw, s)), _p(out_dir, "cleaned"), ["season"])
+    counted = spark.read.parquet(_p(out_dir, "cleaned")).agg(
+        F.count(F.lit(1)).alias("all"),
+        *[F.count_if(F.col("match_source") == fam).alias(fam) for fam in family_paths]).first()
+    counts = counted.asDict()
     files.write_table(clean.invalid_contests(raw, s), _p(out_dir, "rejected"))  # H9 side output
     if ranking_paths:
         rk = files.read_rankings(spark, ranking_paths)
@@ -42,8 +47,7 @@ def ingest(spark: SparkSession, family_paths: dict[str, list[str]], out_dir: str
         pl = files.read_players(spark, players_path)
         if pl is not None:
             files.write_table(pl, _p(out_dir, "players"))
-    written = spark.read.parquet(_p(out_dir, "cleaned"))
-    return written.rollup("match_source").count()
+    return counts
 
 
 def _rankings(spark: SparkSession, out_dir: str) -> DataFrame | None:

@@ -28,8 +28,9 @@ def test_stages_end_to_end(spark, tmpdir_path):
     fx.rankings().coalesce(1).withColumnRenamed("player_id", "player").write.option("header", True).csv(f"{raw}/rk")
     rk_paths = [f"{raw}/rk/{f}" for f in os.listdir(f"{raw}/rk") if f.endswith(".csv")]
     out = f"{tmpdir_path}/out"
-    counts = {r.match_source: r["count"] for r in stages.ingest(spark, paths, out, S, rk_paths).collect()}
-    assert counts[None] == counts["main"] + counts["qual_chall"]
+    counts = stages.ingest(spark, paths, out, S, rk_paths)
+    assert counts["all"] == counts["main"] + counts["qual_chall"] > 0
+    assert counts["all"] == spark.read.parquet(f"{out}/cleaned").count()
     stages.preprocess(spark, out, S)
     stages.features(spark, out, S)
     assert spark.read.parquet(f"{out}/features").count() > 0
