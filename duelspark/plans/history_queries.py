@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import asof, history, rating
 from ..settings import SERVE_FIELDS
 from ..sources.fixtures import FixtureTables
@@ -170,5 +168,3 @@ def q_elo_expectation(spark, sf_dir):
     """WIN7: winner's win expectation from the pre-contest ratings."""
     return for_check(rating.elo_expectation(rating.elo_ratings(prepared(spark, sf_dir), S)))
 
-
-__all__ = ["F"]
