@@ -110,6 +110,19 @@ def q_centroids(spark, sf_dir):
     return P.centroids(_clusters(spark, sf_dir))
 
 
+from .matrix_queries import _CLUSTER_SQL, _cluster_map  # noqa: E402
+
+
+@register("centroids_by_rule", O.prep_prefix().rstrip() + _PROFILE_SQL.rstrip() + _CLUSTER_SQL + "\nSELECT cluster, "
+          + ", ".join(f'round(avg("{f}"), 3) AS "{f}"' for f in SERVE_FIELDS)
+          + " FROM full_prof JOIN cmap USING (player_id) GROUP BY cluster")
+def q_centroids_by_rule(spark, sf_dir):
+    """ML5 given labels: centres in original units of a data-derived labelling
+    (account-balance bands), so the arithmetic has a SQL twin."""
+    assigned = _profiles(spark, sf_dir).join(_cluster_map(spark, sf_dir), "player_id")
+    return P.centroids(assigned)
+
+
 # ------------------------------------------------------------------ models
 def _table(spark, sf_dir) -> DataFrame:
     """The modelling table: feature matrix + cluster one-hots + split label,
