@@ -39,23 +39,24 @@ ELO_SCHEMA = "contest_id long, w_elo double, l_elo double"
 
 def _walker(initial: float, k: float, n_pool_cols: int):
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ratings: dict = {}
-        get = ratings.get
+        pools: dict = {}  # pool -> {player: rating}
+        cur_pool, cur = object(), None
         for pdf in batches:
-            pools = list(zip(*[pdf[f"_p{i}"].tolist() for i in range(n_pool_cols)]))
+            keys = list(zip(*[pdf[f"_p{i}"].tolist() for i in range(n_pool_cols)]))
             ws = pdf["winner_id"].tolist()
             ls = pdf["loser_id"].tolist()
             we_out = [0.0] * len(ws)
             le_out = [0.0] * len(ws)
-            for i, (pool, w, lo) in enumerate(zip(pools, ws, ls)):
-                kw, kl = (pool, w), (pool, lo)
-                rw = get(kw, initial)
-                rl = get(kl, initial)
+            for i, (pool, w, lo) in enumerate(zip(keys, ws, ls)):
+                if pool != cur_pool:  # rows arrive sorted by pool: rare switch
+                    cur_pool, cur = pool, pools.setdefault(pool, {})
+                rw = cur.get(w, initial)
+                rl = cur.get(lo, initial)
                 we_out[i] = rw
                 le_out[i] = rl
                 e = 1.0 / (1.0 + 10 ** ((rl - rw) / 400.0))
-                ratings[kw] = rw + k * (1.0 - e)
-                ratings[kl] = rl + k * (0.0 - (1.0 - e))
+                cur[w] = rw + k * (1.0 - e)
+                cur[lo] = rl + k * (0.0 - (1.0 - e))
             yield pd.DataFrame({"contest_id": pdf["contest_id"], "w_elo": we_out, "l_elo": le_out})
     return walk
 
