@@ -138,8 +138,9 @@ def largest_history(app: DataFrame) -> int:
 
 def history_features(contests: DataFrame, rankings: DataFrame | None, s: Settings,
                      method: str = "auto", fields=SERVE_FIELDS) -> DataFrame:
-    """Per (contest, side): player_id, global_form, surface_form, fatigue,
-    avg_<ratio>..., peak_rank. Input: contests (any source, all levels)."""
+    """Per (contest, side): player_id, surface (pooled), global_form,
+    surface_form, fatigue, avg_<ratio>..., peak_rank. Input: contests (any
+    source, all levels)."""
     app = appearances(with_pool(contests, s), s, fields)
     if method == "auto":
         method = "window" if largest_history(app) <= s.window_group_limit else "chunked"
@@ -164,7 +165,7 @@ def history_features(contests: DataFrame, rankings: DataFrame | None, s: Setting
                           side_rows=rk)
     app = app.withColumn("fatigue", F.col("_fat0") + F.col("_fat1")).drop("_fat0", "_fat1")
     app = _halo_frames(app, ["player_id"], "_gpos", chunk, _frames(s, fields))
-    return app.select("contest_id", "side", "player_id", "global_form", "surface_form", "fatigue",
+    return app.select("contest_id", "side", "player_id", "surface", "global_form", "surface_form", "fatigue",
                       *[f"avg_{f}" for f in fields], "peak_rank")
 
 
@@ -187,5 +188,5 @@ def _history_windows(app: DataFrame, rankings: DataFrame | None, s: Settings, fi
         out = out.join(peaks, ["player_id", "tourney_date"], "left")
     else:
         out = out.withColumn("peak_rank", F.lit(None).cast("int"))
-    return out.select("contest_id", "side", "player_id", "global_form", "surface_form", "fatigue",
+    return out.select("contest_id", "side", "player_id", "surface", "global_form", "surface_form", "fatigue",
                       *[f"avg_{f}" for f in fields], "peak_rank")

@@ -43,9 +43,7 @@ FROM app""")
 def q_form_surface(spark, sf_dir):
     """WIN2: the same over the last 10 contests on this surface (after NUL3)."""
     f = _features(spark, sf_dir, False)
-    app = history.appearances(history.with_pool(prepared(spark, sf_dir), S), S).select("contest_id", "side", "surface")
-    return for_check(f.join(app, ["contest_id", "side"]).select("contest_id", "side", "player_id", "surface",
-                                                                "surface_form"))
+    return for_check(f.select("contest_id", "side", "player_id", "surface", "surface_form"))
 
 
 # Oracle: band self-join, the literal definition (earlier contests dated on or
