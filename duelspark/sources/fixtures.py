@@ -25,20 +25,23 @@ def _yyyymmdd(ts: Column) -> Column:
     return (F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)).cast("int")
 
 
-def _line_side(q: Column) -> dict[str, Column]:
-    """Per-line player statistics (one side of a contest)."""
-    size = F.col("p_size")
-    supp = F.col("l_suppkey")
+_RAW = ("l_suppkey", "s_name", "l_quantity", "l_tax", "l_discount", "p_size", "l_extendedprice")
+
+
+def _line_side(c) -> dict[str, Column]:
+    """Per-line player statistics (one side of a contest); ``c(name)`` gives
+    the raw column of this side."""
+    q, size, supp = c("l_quantity"), c("p_size"), c("l_suppkey")
     return {
         "id": supp,
-        "name": F.col("s_name"),
+        "name": c("s_name"),
         "svpt": q.cast("int"),
         "in1": F.floor(q * 6 / 10).cast("int"),
         "won1": F.floor(q * 4 / 10).cast("int"),
         "won2": F.floor(q * 2 / 10).cast("int"),
-        "bpf": F.round(F.col("l_tax") * 100).cast("int"),
-        "bps": F.floor(F.round(F.col("l_tax") * 100) / 2).cast("int"),
-        "ace": F.round(F.col("l_discount") * 100).cast("int"),
+        "bpf": F.round(c("l_tax") * 100).cast("int"),
+        "bps": F.floor(F.round(c("l_tax") * 100) / 2).cast("int"),
+        "ace": F.round(c("l_discount") * 100).cast("int"),
         "dfs": F.floor(q / 25).cast("int"),
         "rnk": F.when(size % 13 != 0, size % 13),
         "pts": F.when(size % 3 > 0, size * 10),
@@ -46,7 +49,7 @@ def _line_side(q: Column) -> dict[str, Column]:
         "ht": F.when(size % 7 > 0, F.lit(160) + size),
         "hand": (F.when(supp % 5 == 0, "L").when(supp % 7 == 0, F.lit(None))
                  .when(supp % 11 == 0, "u").when(supp % 13 == 0, "A").otherwise("R")),
-        "price": F.col("l_extendedprice"),
+        "price": c("l_extendedprice"),
     }
 
 
@@ -74,14 +77,19 @@ def contests_from_tables(lineitem: DataFrame, part: DataFrame, orders: DataFrame
     order_w = Window.partitionBy("l_orderkey").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
         "l_discount", "l_tax", "l_shipdate")
-    side = F.struct(*[c.alias(k) for k, c in _line_side(F.col("l_quantity")).items()])
+    # the window carries the raw columns once (plus lead of them); the side
+    # structs are built after it, so the exchange holds no duplicated struct
     paired = lines.select(
-        "l_orderkey", "l_shipdate", "l_linenumber", "p_type", "o_orderpriority", "o_orderstatus",
-        F.col("l_quantity").alias("aq"),
+        "l_orderkey", "l_shipdate", "l_linenumber", "p_type", "o_orderpriority", "o_orderstatus", *_RAW,
         F.row_number().over(order_w).alias("rn"),
-        side.alias("a"),
-        F.lead(side, 1).over(order_w).alias("b"),
-    ).where((F.col("rn") % 2 == 1) & F.col("b").isNotNull() & (F.col("a.id") != F.col("b.id")))
+        F.lead(F.lit(True), 1).over(order_w).alias("has_b"),
+        *[F.lead(x, 1).over(order_w).alias(f"b_{x}") for x in _RAW],
+    ).where((F.col("rn") % 2 == 1) & F.col("has_b") & (F.col("l_suppkey") != F.col("b_l_suppkey")))
+    paired = paired.select(
+        "l_orderkey", "l_shipdate", "l_linenumber", "p_type", "o_orderpriority", "o_orderstatus", "rn",
+        F.col("l_quantity").alias("aq"),
+        F.struct(*[e.alias(k) for k, e in _line_side(F.col).items()]).alias("a"),
+        F.struct(*[e.alias(k) for k, e in _line_side(lambda x: F.col(f"b_{x}")).items()]).alias("b"))
 
     awin = F.col("a.price") >= F.col("b.price")
     w = F.when(awin, F.col("a")).otherwise(F.col("b"))
