@@ -19,6 +19,10 @@ Here no group grows with a player's row count:
 3. the fatigue RANGE frame and the as-of best ranking are block-level, so
    they ride on the block table of step 1 (union with the ranking rows).
 
+The finest group left is one player's contests on one day (the in-block
+row number): bounded by how many contests a player can play in a day, not by
+the size of the data.
+
 ``method="window"`` is the textbook single-window formulation: one exchange
 on the player, all frames share it. ``method="auto"`` (the default) measures
 the largest per-player history with one partial aggregate (a single number
