@@ -78,8 +78,9 @@ def q_rank_fill(spark, sf_dir):
 @register("height_fill", O.prep_prefix()
           + "SELECT contest_id, surface, winner_ht, loser_ht FROM prep")
 def q_height_fill(spark, sf_dir):
-    """NUL2, ARR1, AGG3, JOIN1."""
-    return for_check(prepared(spark, sf_dir).select("contest_id", "surface", "winner_ht", "loser_ht"))
+    """NUL2, ARR1, AGG3, JOIN1 (two consumers of the cleaned table: the
+    median branch and the filled rows, so it is written once)."""
+    return for_check(prepared(spark, sf_dir, True).select("contest_id", "surface", "winner_ht", "loser_ht"))
 
 
 @register("height_medians", O.with_views(O.CONTESTS_CTE, O.CLEANED_CTE, O.RATIOS_CTE, O.PREP_CTE)
