@@ -61,9 +61,11 @@ def _walker(initial: float, k: float, n_pool_cols: int):
     return walk
 
 
-def elo_ratings(contests: DataFrame, s: Settings, pool_cols: tuple[str, ...] = ("surface",),
+def elo_ratings(contests: DataFrame, s: Settings, pool_cols: tuple[str, ...] | None = None,
                 partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
-    """(contest_id, w_elo, l_elo): both ratings before each contest."""
+    """(contest_id, w_elo, l_elo): both ratings before each contest, per pool
+    (``s.rating_pools`` unless ``pool_cols`` is given)."""
+    pool_cols = tuple(pool_cols or s.rating_pools)
     pooled = with_pool(contests, s)
     narrow = pooled.select("contest_id", "tourney_date", "match_num", "winner_id", "loser_id",
                            *[F.col(c).alias(f"_p{i}") for i, c in enumerate(pool_cols)])

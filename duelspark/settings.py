@@ -75,6 +75,9 @@ class Settings:
         (20000101, 20201231), (20210101, 20221231), (20230101, 20251231)))
     # rows per chunk of a player's history; bounds the largest window group
     history_chunk_rows: int = 4096
+    # rating pools: ratings are kept per player and per value of these columns
+    # (more keys = more independent sequential walks = more parallelism)
+    rating_pools: tuple[str, ...] = ("surface",)
     # "auto" history plan: one window per player when the largest player
     # history is at most this many rows, the chunked plan above it
     window_group_limit: int = 2_000_000
