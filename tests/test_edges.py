@@ -114,7 +114,8 @@ def _elbow_ref(ks, ys):
     n = np.linalg.norm(v)
     best, bd = ks[0], -1.0
     for k, y in zip(ks, ys):
-        d = abs(np.cross(v, np.array([k, y]) - p1)) / n if n else 0.0
+        q = np.array([k, y]) - p1
+        d = abs(v[0] * q[1] - v[1] * q[0]) / n if n else 0.0  # 2-D cross product
         if d > bd:
             best, bd = k, d
     return best
