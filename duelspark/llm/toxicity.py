@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params(), doc_id: str =
     unit = F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("y") == 1, min(1.0, p.sample_positive / n[1])).otherwise(min(1.0, p.sample_negative / n[0]))
     chosen = truth.where(unit < share)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, "doc_id")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")  # bounded sample
 
     def encode(batches):
         for b in pieces(batches, 500):
