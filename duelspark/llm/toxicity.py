@@ -42,7 +42,7 @@ class Params:
     bits: int = 18
     factors: int = 4
     epochs: int = 8
-    rate: float = 0.1
+    rate: float = 0.3
     decay: float = 2e-4
     batch: int = 64
     min_support: int = 3
