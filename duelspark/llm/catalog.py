@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, packing, simhash, toxicity
+from . import linededup, mixing, neighbours, packing, pages, simhash, toxicity
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+@query
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,6 +57,11 @@ SELECT doc_id, count(*) AS n_lines, count(gone) AS n_dropped,
 FROM keyed LEFT JOIN common ON k = gone GROUP BY doc_id"""
 
 
+@query
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(read(spark, sf_dir, "pages"))
+
+
 @query
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
