@@ -40,8 +40,8 @@ class Params:
     parts: int = 16
     neighbours: int = 10
     rounds: int = 8
-    recall: float = 0.97
-    block: int = 1024
+    recall: float = 0.95
+    block: int = 2048
     seed: int = 3
 
 
