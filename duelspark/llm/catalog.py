@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, neighbours, packing, pages, simhash, toxicity
+from . import imatch, linededup, mixing, neighbours, packing, pages, simhash, toxicity, urllist
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,57 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page is a capture, fetched when the event numbered page_id * 7919 modulo the events
+    happened. An error event lists, a signup event delists, the host of the page numbered
+    event_id * 31 modulo the pages (events with odd numbers: that host's parent domain)."""
+    pages_, events = read(spark, sf_dir, "pages").select("page_id", "url"), read(spark, sf_dir, "events")
+    n_events, n_pages = F.lit(max(1, events.count())), F.lit(max(1, pages_.count()))
+    captures = pages_.withColumn("event_id", F.col("page_id") * 7919 % n_events) \
+        .join(events.select("event_id", F.col("ts").alias("fetched_at")), "event_id", "left")
+    named = pages_.select("page_id", urllist.host(F.col("url")).alias("host"))
+    parent = F.regexp_replace("host", r"^[^.]+\.(?=[^.]+\.)", "")
+    entries = events.where(F.col("event_type").isin("error", "signup")) \
+        .withColumn("page_id", F.col("event_id") * 31 % n_pages).join(named, "page_id").select(
+            F.when(F.col("event_id") % 2 == 1, parent).otherwise(F.col("host")).alias("pattern"), F.col("ts").alias("at"),
+            F.when(F.col("event_type") == "error", "add").otherwise("remove").alias("action"))
+    return urllist.judge(captures, entries)
+
+
+ORACLES["op4_url_list"] = r"""
+WITH p AS (
+  SELECT page_id, nullif(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1)), '') AS host FROM pages),
+captures AS (
+  SELECT page_id, host, ts AS fetched_at
+  FROM p LEFT JOIN events ON event_id = page_id * 7919 % (SELECT count(*) FROM events)),
+entries AS (
+  SELECT CASE WHEN event_id % 2 = 1 AND array_length(string_split(host, '.')) > 2
+              THEN array_to_string(string_split(host, '.')[2:], '.') ELSE host END AS pattern,
+         ts AS listed_since, min(event_type = 'error') AS active
+  FROM events JOIN p ON page_id = event_id * 31 % (SELECT count(*) FROM pages)
+  WHERE event_type IN ('error', 'signup') AND host IS NOT NULL AND ts IS NOT NULL
+  GROUP BY 1, 2),
+intervals AS (SELECT *, lead(listed_since) OVER (PARTITION BY pattern ORDER BY listed_since) AS till FROM entries),
+hosts AS (SELECT DISTINCT host FROM captures WHERE host IS NOT NULL),
+named AS (
+  SELECT host, pattern FROM hosts JOIN (SELECT DISTINCT pattern FROM entries) e
+    ON host = pattern OR ends_with(host, '.' || pattern)),
+hits AS (
+  SELECT c.page_id, i.pattern, i.listed_since,
+         row_number() OVER (PARTITION BY c.page_id ORDER BY length(i.pattern) DESC) AS n
+  FROM captures c JOIN named m ON c.host = m.host JOIN intervals i ON i.pattern = m.pattern
+    AND i.listed_since <= fetched_at AND coalesce(fetched_at < till, true)
+  WHERE active)
+SELECT page_id, host, fetched_at, pattern IS NOT NULL AS blocked, pattern, listed_since
+FROM captures LEFT JOIN (SELECT page_id, pattern, listed_since FROM hits WHERE n = 1) USING (page_id)"""
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
