@@ -66,21 +66,18 @@ def lexicon(docs: DataFrame, rows: int, p: Params) -> DataFrame:
 
 
 def cells(hashes: Column, p: Params) -> Column:
-    """One four-digit hash per subset of a level, from the sorted terms that fall in it."""
-    ordered = F.array_sort(hashes)
-
-    def cell(k: Column) -> Column:
-        own = F.filter(ordered, lambda h: F.pmod(F.shiftright(h, 40), F.lit(p.cells)) == k)
-        digits = F.lower(F.lpad(F.hex(F.pmod(F.xxhash64(own), F.lit(1 << 16))), 4, "0"))
-        return F.when(F.size(own) == 0, EMPTY).otherwise(digits)
-
-    return F.transform(F.sequence(F.lit(0), F.lit(p.cells - 1)), cell)
+    """One four-digit hash per subset of a level, from the sorted terms that fall in it, end to end."""
+    none = 42  # xxhash64 of an empty array is its seed
+    subsets = F.transform(F.sequence(F.lit(0), F.lit(p.cells - 1)), lambda k: F.xxhash64(
+        F.filter(hashes, lambda h: F.pmod(F.shiftright(h, 40), F.lit(p.cells)) == k)))
+    return F.array_join(F.transform(subsets, lambda h: F.when(h == none, EMPTY).otherwise(
+        F.lower(F.lpad(F.hex(F.pmod(h, F.lit(1 << 16))), 4, "0")))), "")
 
 
 def render(lev: Column, own: Column, p: Params) -> Column:
-    """The fingerprint: its level, the cells of that level and those of the next."""
-    return F.concat_ws(":", F.lpad(lev.cast("string"), 2, "0"), F.array_join(cells(own, p), ""),
-                       F.array_join(cells(at_level(own, lev + 1), p), ""))
+    """The fingerprint: its level, the cells of that level and those of the next. ``own``: sorted."""
+    both = F.transform(F.array(own, at_level(own, lev + 1)), lambda hashes: cells(hashes, p))
+    return F.concat_ws(":", F.lpad(lev.cast("string"), 2, "0"), both)
 
 
 def likeness(a: Column, b: Column, p: Params = Params()) -> Column:
@@ -137,12 +134,12 @@ def fingerprint_edits(docs: DataFrame, p: Params = Params(), doc_id: str = "doc_
     stored = materialize(paired.withColumn("_row", F.monotonically_increasing_id()), "imatch")
     kept = materialize(lexicon(base, rows, p), "lexicon")
     found = stored.select("_row", F.explode(F.array_union("t", "e")).alias("term")).join(kept, "term") \
-        .groupBy("_row").agg(F.collect_list("term").alias("band"))
+        .groupBy("_row").agg(F.sort_array(F.collect_list("term")).alias("band"))
     none = F.array().cast("array<bigint>")
 
     def banded(own: str) -> Column:
-        inside = F.array_intersect(F.col(own), F.coalesce("band", none))
-        return F.when(F.size(inside) == 0, F.col(own)).otherwise(inside)
+        inside = F.array_intersect(F.coalesce("band", none), F.col(own))
+        return F.when(F.arrays_overlap(F.coalesce("band", none), F.col(own)), inside).otherwise(F.sort_array(own))
 
     marked = stored.join(found, "_row", "left").select(
         "doc_id", "n_chars", "edited_sha256", "of", "next", render(F.col("level"), banded("t"), p).alias("fingerprint"),
