@@ -5,7 +5,7 @@ frequency lies in a band: found in at least ``min_docs`` documents and in at mos
 them (idf from ln(1 / max_share) to ln(N / min_docs)). A randomised lexicon subset keeps the lexicon
 terms whose hash falls in it; its fingerprint cell is a hash of the text's sorted distinct terms in
 that subset. Subsets come in levels: level L keeps 2^-L of the lexicon and is divided into ``cells``
-subsets. A text with m distinct terms uses levels L and L + 1, L = floor(log2(m / 16)), at least 0, so
+subsets. A text with m distinct terms uses levels L and L + 1, L = floor(log2(m / 24)), at least 0, so
 that a cell sees one or two of its terms whatever the text's length; two texts are compared on
 their common level.
 
@@ -32,14 +32,14 @@ from .common import materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 EMPTY = "----"
-TERMS_PER_LEVEL = 16
+TERMS_PER_LEVEL = 24
 
 
 @dataclass(frozen=True)
 class Params:
     min_docs: int = 2
     max_share: float = 0.5
-    cells: int = 16
+    cells: int = 32
 
 
 def terms(text: Column) -> Column:
