@@ -145,7 +145,9 @@ def fingerprint_edits(docs: DataFrame, p: Params = Params(), doc_id: str = "doc_
         "doc_id", "n_chars", "edited_sha256", "of", "next", render(F.col("level"), banded("t"), p).alias("fingerprint"),
         render(F.col("edited_level"), banded("e"), p).alias("edited_fingerprint"))
     marked = materialize(marked, "fingerprints")
-    texts = marked.groupBy(F.col("of").alias("next")).agg(F.min("fingerprint").alias("next_fingerprint"))
+    # stored, so that the join below has plain exchanges on both sides and splits a crowd of equal texts
+    texts = materialize(marked.groupBy(F.col("of").alias("next")).agg(F.min("fingerprint").alias("next_fingerprint")),
+                        "text-fingerprints")
     return marked.join(texts, "next", "left").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness(F.col("fingerprint"), F.col("edited_fingerprint"), p).alias("near_edited"),
