@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import imatch, linededup, mixing, neighbours, packing, pages, simhash, toxicity, urllist
+from . import contextmix, imatch, linededup, mixing, neighbours, packing, pages, simhash, toxicity, urllist
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,11 @@ SELECT page_id, host, fetched_at, pattern IS NOT NULL AS blocked, pattern, liste
 FROM captures LEFT JOIN (SELECT page_id, pattern, listed_since FROM hits WHERE n = 1) USING (page_id)"""
 
 
+@query
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contextmix.score(read(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2)
+
+
 @query
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
