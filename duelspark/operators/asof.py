@@ -16,13 +16,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.scalar import to_date
+
 
 def clean_rankings(rankings: DataFrame) -> DataFrame:
-    """Drop incomplete rows (FLT4), cast ids/dates/ranks to int (PRJ4)."""
+    """Drop incomplete rows (FLT4), cast ids/dates/ranks to int (PRJ4): a malformed id or rank, or a
+    number that is no calendar date, makes the row incomplete. Every as-of path starts here."""
     return (rankings.select(F.col("player_id").try_cast("long").alias("player_id"),
                             F.col("ranking_date").try_cast("int").alias("ranking_date"),
                             F.col("rank").try_cast("int").alias("rank"))
-            .na.drop("any"))
+            .na.drop("any").where(to_date("ranking_date").isNotNull()))
 
 
 def running_best(rankings: DataFrame) -> DataFrame:

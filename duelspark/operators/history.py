@@ -5,7 +5,7 @@ surface, weighted workload over the previous days, last-N means of the serve
 ratios and the best ranking so far. Time order is (tourney_date, match_num,
 contest_id); frames always exclude the current contest.
 
-Scale design (``method="chunked"``, the default). A plain
+Scale design, the same at every size. A plain
 ``Window.partitionBy(player)`` sends one player's whole career to one task;
 if one player holds a third of all rows, that task holds a third of the data.
 Here no group grows with a player's row count:
@@ -22,12 +22,6 @@ Here no group grows with a player's row count:
 The finest group left is one player's contests on one day (the in-block
 row number): bounded by how many contests a player can play in a day, not by
 the size of the data.
-
-``method="window"`` is the textbook single-window formulation: one exchange
-on the player, all frames share it. ``method="auto"`` (the default) measures
-the largest per-player history with one partial aggregate (a single number
-reaches the driver) and uses the single window only when that group is at
-most ``window_group_limit`` rows, the chunked plan otherwise.
 """
 
 from __future__ import annotations
@@ -37,13 +31,16 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import epoch_day, in_domain_or
 from ..settings import SERVE_FIELDS, Settings
+from .asof import clean_rankings
 
-ORDER = ("tourney_date", "match_num", "contest_id")
 UNB = Window.unboundedPreceding
 
 
 def with_pool(contests: DataFrame, s: Settings) -> DataFrame:
-    """NUL3: surface outside the known domain (or NULL) -> default; the column is overwritten."""
+    """NUL3: surface outside the known domain (or NULL) -> default; the column is overwritten.
+    PRJ10: an absent contest number reads as NULL (order: date, then contest id)."""
+    if "match_num" not in contests.columns:
+        contests = contests.withColumn("match_num", F.lit(None).cast("long"))
     return contests.withColumn("surface", in_domain_or("surface", s.surfaces, s.default_surface))
 
 
@@ -75,10 +72,7 @@ def appearances(contests: DataFrame, s: Settings, fields=SERVE_FIELDS) -> DataFr
 
 def ranking_days(rankings: DataFrame) -> DataFrame:
     """(player_id, day, rank): incomplete rows dropped (FLT4), min rank per day."""
-    return (rankings.select(F.col("player_id").cast("long").alias("player_id"),
-                            epoch_day("ranking_date").alias("day"),
-                            F.col("rank").try_cast("int").alias("rank"))
-            .na.drop("any")
+    return (clean_rankings(rankings).select("player_id", epoch_day("ranking_date").alias("day"), "rank")
             .groupBy("player_id", "day").agg(F.min("rank").alias("rank")))
 
 
@@ -135,23 +129,11 @@ def _frames(s: Settings, fields) -> dict[str, tuple[Column, int]]:
     return fr
 
 
-def largest_history(app: DataFrame) -> int:
-    """Rows of the most active player (map-side partial counts, one number out)."""
-    return app.groupBy("player_id").count().agg(F.max("count")).first()[0] or 0
-
-
-def history_features(contests: DataFrame, rankings: DataFrame | None, s: Settings,
-                     method: str = "auto", fields=SERVE_FIELDS) -> DataFrame:
+def history_features(contests: DataFrame, rankings: DataFrame | None, s: Settings, fields=SERVE_FIELDS) -> DataFrame:
     """Per (contest, side): player_id, surface (pooled), global_form,
     surface_form, fatigue, avg_<ratio>..., peak_rank. Input: contests (any
     source, all levels)."""
     app = appearances(with_pool(contests, s), s, fields)
-    if method == "auto":
-        method = "window" if largest_history(app) <= s.window_group_limit else "chunked"
-    if method == "window":
-        return _history_windows(app, rankings, s, fields)
-    if method != "chunked":
-        raise ValueError(f"unknown method {method}")
     rk = ranking_days(rankings) if rankings is not None else None
     chunk = s.history_chunk_rows
     # surface sequence: per (player, surface)
@@ -171,26 +153,3 @@ def history_features(contests: DataFrame, rankings: DataFrame | None, s: Setting
     app = _halo_frames(app, ["player_id"], "_gpos", chunk, _frames(s, fields))
     return app.select("contest_id", "side", "player_id", "surface", "global_form", "surface_form", "fatigue",
                       *[f"avg_{f}" for f in fields], "peak_rank")
-
-
-def _history_windows(app: DataFrame, rankings: DataFrame | None, s: Settings, fields) -> DataFrame:
-    """Single-window formulation: one exchange on player_id, shared sorts."""
-    from .asof import peak_rank_asof
-
-    g = Window.partitionBy("player_id").orderBy(*ORDER)
-    sw = Window.partitionBy("player_id", "surface").orderBy(*ORDER)
-    dw = Window.partitionBy("player_id").orderBy("day")
-    same_day = Window.partitionBy("player_id", "day").orderBy("match_num", "contest_id")
-    cols = {k: e.over(g.rowsBetween(-n, -1)) for k, (e, n) in _frames(s, fields).items()}
-    cols["surface_form"] = F.avg("won").over(sw.rowsBetween(-s.surface_form_window, -1))
-    cols["fatigue"] = (F.coalesce(F.sum("wt").over(dw.rangeBetween(-s.fatigue_days, -1)), F.lit(0.0))
-                       + F.coalesce(F.sum("wt").over(same_day.rowsBetween(UNB, -1)), F.lit(0.0)))
-    out = app.withColumns(cols)
-    if rankings is not None:
-        q = out.select("player_id", "tourney_date").distinct()
-        peaks = peak_rank_asof(q, rankings, "tourney_date")
-        out = out.join(peaks, ["player_id", "tourney_date"], "left")
-    else:
-        out = out.withColumn("peak_rank", F.lit(None).cast("int"))
-    return out.select("contest_id", "side", "player_id", "surface", "global_form", "surface_form", "fatigue",
-                      *[f"avg_{f}" for f in fields], "peak_rank")

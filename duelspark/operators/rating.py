@@ -34,7 +34,7 @@ from ..session import materialize
 from ..settings import Settings
 from .history import with_pool
 
-ELO_SCHEMA = "contest_id long, w_elo double, l_elo double"
+ELO_SCHEMA = "contest_id {id}, w_elo double, l_elo double"
 
 
 def _walker(initial: float, k: float, n_pool_cols: int):
@@ -75,9 +75,12 @@ def elo_ratings(contests: DataFrame, s: Settings, pool_cols: tuple[str, ...] | N
         idx = F.array_position(F.array(*[F.lit(x) for x in s.surfaces]), F.col("_p0")).cast("int") - 1
         placed = narrow.repartitionById(len(s.surfaces), idx)
     else:
-        placed = narrow.repartition(partitions or max(8, 4 * len(s.surfaces)), *pcols)
+        # as many tasks as any other shuffle has, however many pools there are
+        n = partitions or int(contests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = narrow.repartition(n, *pcols)
     ordered = placed.sortWithinPartitions(*pcols, "tourney_date", "match_num", "contest_id")
-    out = ordered.mapInPandas(_walker(s.elo_initial, s.elo_k, len(pcols)), ELO_SCHEMA)
+    out = ordered.mapInPandas(_walker(s.elo_initial, s.elo_k, len(pcols)),
+                              ELO_SCHEMA.format(id=dict(contests.dtypes)["contest_id"]))
     return materialize(out, "elo") if checkpoint else out
 
 

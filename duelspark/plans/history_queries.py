@@ -94,7 +94,7 @@ def q_history_chunked(spark, sf_dir):
     """The skew-safe history plan forced on, with 64-row chunks so that every
     player's sequence spans many chunks and halos (WIN1-WIN5, JOIN3 fused)."""
     rk = FixtureTables(spark, sf_dir).rankings()
-    h = history.history_features(prepared(spark, sf_dir), rk, S.with_(history_chunk_rows=64), method="chunked")
+    h = history.history_features(prepared(spark, sf_dir), rk, S.with_(history_chunk_rows=64))
     return for_check(h.select("contest_id", "side", "player_id", *_HIST_COLS))
 
 

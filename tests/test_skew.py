@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from history_windows import single_window
 from duelspark.operators import history
 from duelspark.settings import SERVE_FIELDS, Settings
 
@@ -50,13 +51,10 @@ def test_hot_player_results_equal_single_window(spark):
     c = _hot_contests(spark)
     cols = ["global_form", "surface_form", "fatigue", *[f"avg_{f}" for f in SERVE_FIELDS]]
     a = {(r.contest_id, r.side): tuple(r[k] for k in cols)
-         for r in history.history_features(c, None, S, method="chunked").collect()}
+         for r in history.history_features(c, None, S).collect()}
     b = {(r.contest_id, r.side): tuple(r[k] for k in cols)
-         for r in history.history_features(c, None, S, method="window").collect()}
+         for r in single_window(c, None, S).collect()}
     assert a.keys() == b.keys()
     for k in a:
         for x, y in zip(a[k], b[k]):
             assert (x is None and y is None) or abs(x - y) < 1e-12, (k, a[k], b[k])
-    # auto picks the chunked plan once the hot history exceeds the limit
-    plan = history.history_features(c, None, S.with_(window_group_limit=1000))._jdf.queryExecution()
-    assert "_chunk" in plan.optimizedPlan().toString()

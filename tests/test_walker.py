@@ -11,6 +11,7 @@ import math
 from collections import defaultdict, deque
 
 import pytest
+from history_windows import single_window
 
 from conftest import SF_SMALL
 from duelspark.operators import clean, history, rating
@@ -79,11 +80,12 @@ def _close(a, b):
     return math.isclose(a, b, rel_tol=0, abs_tol=1e-9)
 
 
-@pytest.mark.parametrize("method,chunk", [("chunked", 25), ("chunked", 4096), ("window", 4096), ("auto", 4096)])
-def test_history_matches_walk(spark, data, method, chunk):
+@pytest.mark.parametrize("plan,chunk", [(history.history_features, 25), (history.history_features, 4096),
+                                        (single_window, 4096)])
+def test_history_matches_walk(spark, data, plan, chunk):
     prep, rk, expected = data
     s = S.with_(history_chunk_rows=chunk)
-    got = history.history_features(prep, rk, s, method=method).collect()
+    got = plan(prep, rk, s).collect()
     assert len(got) == len(expected)
     cols = ["global_form", "surface_form", "fatigue", "peak_rank", *[f"avg_{f}" for f in SERVE_FIELDS]]
     bad = [(r.contest_id, r.side, c) for r in got for c in cols
@@ -103,16 +105,4 @@ def test_elo_matches_walk(spark, data):
 def test_chunk_must_cover_frame(spark, data):
     prep, rk, _ = data
     with pytest.raises(ValueError):
-        history.history_features(prep, rk, S.with_(history_chunk_rows=5), method="chunked")
-
-
-def test_auto_picks_chunked_for_a_hot_player(spark, data):
-    """With a limit below the largest history the plan must be the chunked one."""
-    prep, rk, expected = data
-    s = S.with_(window_group_limit=10, history_chunk_rows=25)
-    app = history.appearances(history.with_pool(prep, s), s)
-    assert history.largest_history(app) > 10
-    plan = history.history_features(prep, rk, s)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_chunk" in plan
-    plan = history.history_features(prep, rk, S)._jdf.queryExecution().optimizedPlan().toString()
-    assert "_chunk" not in plan
+        history.history_features(prep, rk, S.with_(history_chunk_rows=5))
