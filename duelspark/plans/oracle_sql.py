@@ -62,7 +62,7 @@ SELECT DISTINCT l_suppkey AS player_id,
        p_size AS rank,
        p_size * 100 AS points
 FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
-WHERE o_orderstatus = 'F' AND l_suppkey % 10 > 0 AND day(o_orderdate) = 1)"""
+WHERE o_orderstatus = 'F' AND l_suppkey % 10 > 0)"""
 
 PREDICTIONS_CTE = """
 predictions AS (

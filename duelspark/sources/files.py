@@ -15,10 +15,11 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from ..functions.scalar import nan_to_null
 from ..operators.clean import union_all
 
 log = logging.getLogger(__name__)
@@ -74,6 +75,15 @@ def header_line(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def typed(text: F.Column, kind: str) -> F.Column:
+    """A text field as its declared type, NULL if it is malformed. Integers may be written with a
+    decimal part of zeros (``7.0``, as exports of columns with gaps do); NaN is missing."""
+    if kind in (_INT, _LONG):
+        exact = text.try_cast("decimal(38,6)")
+        return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
+    return nan_to_null(text.try_cast(kind)) if kind == "double" else text.try_cast(kind)
+
+
 def yearly_paths(directory: str, pattern: str, years) -> list[str]:
     """SRC2 helper: ``pattern`` formatted with each year, e.g. "m_{year}.csv"."""
     return [f"{directory.rstrip('/')}/{pattern.format(year=y)}" for y in years]
@@ -96,7 +106,7 @@ def read_typed_csv(spark: SparkSession, paths: list[str], types: dict[str, str],
         cols = []
         for c in raw.columns:
             t = types.get(c)
-            cols.append(F.col(f"`{c}`").try_cast(t).alias(c) if t and t != _STR else F.col(f"`{c}`"))
+            cols.append(typed(F.col(f"`{c}`"), t).alias(c) if t and t != _STR else F.col(f"`{c}`"))
         parts.append(raw.select(*cols))
     df = union_all(parts, common_only=common_only)
     if tag is not None:
@@ -111,12 +121,17 @@ def with_declared(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def contest_key(df: DataFrame) -> DataFrame:
-    """H1: a stable contest id for CSV input: hash of family, tournament id,
-    date, number, winner and loser (total-order tie breaker)."""
+    """H1: a stable contest id for CSV input (total-order tie breaker): 128 bits from two hashes of
+    family, tournament id, date, number, winner and loser, and the contest's ordinal among those
+    that agree in all of them, so that repeated rows stay contests of their own."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit(""))
              for c in ("match_source", "tourney_id", "tourney_date", "match_num", "winner_id", "loser_id")
              if c in df.columns]
-    return df.withColumn("contest_id", F.xxhash64(*parts))
+    key = F.concat(*[F.lower(F.lpad(F.hex(F.xxhash64(*parts, F.lit(i))), 16, "0")) for i in (0, 1)])
+    among_equals = Window.partitionBy("contest_id").orderBy(F.xxhash64(*df.columns))
+    ordinal = F.row_number().over(among_equals)
+    return df.withColumn("contest_id", key) \
+        .withColumn("contest_id", F.concat_ws("-", "contest_id", ordinal.cast("string")))
 
 
 def read_contests(spark: SparkSession, family_paths: dict[str, list[str]], common_only: bool = False,
@@ -168,10 +183,16 @@ def with_season(df: DataFrame) -> DataFrame:
 
 
 def write_small_csv(df: DataFrame, path: str) -> None:
-    """SNK2: a metric table (tens of rows by construction) as one CSV file."""
+    """SNK2: a metric table (tens of rows by construction) as one CSV file; tables that grow with the
+    data (ROC points) go to ``write_csv``."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """SNK2 for a table of any size: one CSV part per task."""
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
 def write_document(df: DataFrame, path: str) -> None:
     """SNK3/SNK4: a one-row (nested) DataFrame as a JSON document."""
     df.coalesce(1).write.mode("overwrite").json(path)

@@ -123,7 +123,7 @@ def contests_from_tables(lineitem: DataFrame, part: DataFrame, orders: DataFrame
 
 def rankings_from_tables(lineitem: DataFrame, part: DataFrame, orders: DataFrame) -> DataFrame:
     """Ranking history: (player_id, ranking_date, rank, points), distinct rows."""
-    od = (orders.where((F.col("o_orderstatus") == "F") & (F.dayofmonth("o_orderdate") == 1))
+    od = (orders.where(F.col("o_orderstatus") == "F")
           .select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"))
     li = lineitem.where(F.col("l_suppkey") % 10 > 0).select("l_orderkey", "l_partkey", "l_suppkey")
     pt = part.select(F.col("p_partkey").alias("l_partkey"), "p_size")
