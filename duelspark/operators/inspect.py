@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType, TimestampNTZType,
+                               TimestampType)
 
 from .stats import exact_quantiles
 
@@ -17,8 +18,9 @@ QUARTILES = (0.25, 0.5, 0.75)
 
 def select_known(df: DataFrame, cols: list[str] | None) -> DataFrame:
     """PRJ7: keep the named columns that exist; none valid -> all columns."""
-    keep = [c.strip() for c in (cols or []) if c.strip() in df.columns]
-    return df.select(*keep) if keep else df
+    known = dict.fromkeys(df.columns)
+    wanted = (name.strip() for name in cols or ())
+    return df.select(*(list(filter(known.__contains__, wanted)) or df.columns))
 
 
 def sort_by_time(df: DataFrame) -> DataFrame:
@@ -43,7 +45,8 @@ def shape(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, accuracy: int = 10000, exact_distinct: bool = True) -> DataFrame:
-    """AGG19: one row per column: count, unique, top, freq (strings), mean,
+    """AGG19: one row per column: count, unique, top, freq (strings,
+    booleans, dates and timestamps, as text), mean,
     std (sample), min, 25%, 50%, 75% (exact, linear), max (numbers).
     ``exact_distinct=False`` counts distinct values with HyperLogLog (the
     option for very wide tables)."""
@@ -55,7 +58,10 @@ def describe(df: DataFrame, accuracy: int = 10000, exact_distinct: bool = True)
 def _describe(df: DataFrame, accuracy: int, exact_distinct: bool = True) -> DataFrame:
     spark = df.sparkSession
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    txt = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    plain = (StringType, BooleanType, DateType, TimestampType, TimestampNTZType)
+    txt = [f.name for f in df.schema.fields if isinstance(f.dataType, plain)]
+    df = df.withColumns({f.name: F.col(f.name).cast("string") for f in df.schema.fields
+                         if f.name in txt and not isinstance(f.dataType, StringType)})
     aggs = []
     for c in num:
         x = F.col(c).cast("double")

@@ -27,6 +27,8 @@ def career_profiles(prepared: DataFrame, fields=SERVE_FIELDS, until_date: int |
 
     ``until_date`` restricts the profile to contests up to that date (the
     reference uses all years, test period included: H7 in the survey)."""
+    if "match_num" not in prepared.columns:  # PRJ10
+        prepared = prepared.withColumn("match_num", F.lit(None).cast("long"))
     src = prepared if until_date is None else prepared.where(F.col("tourney_date") <= until_date)
 
     def side(tag: str, full: str, rank: int):

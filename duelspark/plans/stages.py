@@ -6,8 +6,6 @@ only driver-side values are counts, the chosen K and fitted model objects.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,10 +49,9 @@ def ingest(spark: SparkSession, family_paths: dict[str, list[str]], out_dir: str
 
 
 def _rankings(spark: SparkSession, out_dir: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(_p(out_dir, "rankings"))
-    except Exception:  # noqa: BLE001 - absent rankings: peak rank stays NULL
-        return None
+    """The stored rankings; None where stage 1 had none (peak rank stays NULL)."""
+    there = files.existing(spark, [_p(out_dir, "rankings")])
+    return spark.read.parquet(*there) if there else None
 
 
 def preprocess(spark: SparkSession, out_dir: str, s: Settings) -> None:
@@ -87,11 +84,12 @@ def cluster(spark: SparkSession, out_dir: str, s: Settings) -> int:
 def model(spark: SparkSession, out_dir: str, s: Settings, grids: ML.Grids | None = None) -> dict:
     """Stage 5: join clusters, split by date, fit the three grids, score the
     test split, save models and the model description."""
-    grids = grids or ML.Grids.default()
+    grids = grids or ML.Grids.reference()
     fm = spark.read.parquet(_p(out_dir, "features")).drop("season")
     cl = spark.read.parquet(_p(out_dir, "player_clusters"))
     table = M.join_clusters(fm, cl, s).withColumn("split", M.split_column(s))
-    feats = M.model_columns(table)
+    table = table.where(F.col("split").isNotNull())  # contests outside all splits take no part
+    feats = M.model_columns(table, s)
     table = table.withColumns({c: F.col(c).cast("double") for c in feats})
     files.write_table(table, _p(out_dir, "model_table"))
     table = spark.read.parquet(_p(out_dir, "model_table"))
@@ -106,13 +104,20 @@ def model(spark: SparkSession, out_dir: str, s: Settings, grids: ML.Grids | None
     files.write_table(pred, _p(out_dir, "test_predictions"))
     pred = spark.read.parquet(_p(out_dir, "test_predictions"))
     test_m = E.model_metrics(pred, MODEL_OUT, [])
+    files.write_table(ML.score(va, fitted, MODEL_OUT), _p(out_dir, "val_predictions"))
+    val_m = E.model_metrics(spark.read.parquet(_p(out_dir, "val_predictions")), MODEL_OUT, [])
+    metrics = F.collect_list(F.struct("model", "n", "accuracy", "log_loss", "auc_roc"))
     counts = table.groupBy("split").count()
-    doc = (attach_row(
-        test_m.agg(F.collect_list(F.struct("model", "n", "accuracy", "log_loss", "auc_roc")).alias("test_metrics")),
+    bounds = [(name, *getattr(s.splits, name)) for name in ("train", "val", "test")]
+    chosen = [F.struct(F.lit(f.name).alias("model"), *[F.lit(v).cast("string").alias(k) for k, v in f.params.items()])
+              .alias(f.name) for f in fitted]
+    doc = (attach_row(attach_row(
+        test_m.agg(metrics.alias("test_metrics")), val_m.agg(metrics.alias("val_metrics"))),
         counts.agg(F.map_from_entries(F.collect_list(F.struct("split", "count"))).alias("split_rows")))
+           .withColumn("split_bounds", F.array(*[F.struct(F.lit(n).alias("split"), F.lit(a).alias("first"),
+                                                          F.lit(b).alias("last")) for n, a, b in bounds]))
            .withColumn("feature_cols", F.array(*[F.lit(c) for c in feats]))
-           .withColumn("val_metrics", F.lit(json.dumps({f.name: f.val_metrics for f in fitted})))
-           .withColumn("chosen_params", F.lit(json.dumps({f.name: f.params for f in fitted}))))
+           .withColumn("chosen_params", F.struct(*chosen)))
     files.write_document(doc, _p(out_dir, "model_schema"))
     # importances of the boosted model (SRT3 top 20)
     files.write_small_csv(ML.importances(spark, fitted[2], feats), _p(out_dir, "reports/importances"))
@@ -131,7 +136,7 @@ def evaluate(spark: SparkSession, out_dir: str, s: Settings, prob: str = "xgb_pr
     files.write_small_csv(E.confusion(pred, prob), rep("confusion"))
     files.write_small_csv(E.accuracy_by(pred, "tourney_level", prob).orderBy("tourney_level"), rep("accuracy_by_level"))
     files.write_small_csv(E.accuracy_by_year(pred, prob), rep("accuracy_by_year"))
-    files.write_small_csv(E.roc_points(pred, MODEL_OUT), rep("roc_points"))
+    files.write_csv(E.roc_points(pred, MODEL_OUT), rep("roc_points"))
     if "elo_diff" in pred.columns:
         files.write_small_csv(E.binned_win_rate(pred, "elo_diff", prob), rep("elo_diff_win_rate"))
     files.write_small_csv(E.upset_histogram(pred, prob), rep("upset_histogram"))
@@ -143,5 +148,5 @@ def evaluate(spark: SparkSession, out_dir: str, s: Settings, prob: str = "xgb_pr
         by_level.agg(F.collect_list(F.struct(*cols)).alias("metrics_by_level"))),
         schema.select(F.col("test_metrics").alias("test_metrics_all_models"),
                       F.col("val_metrics").alias("validation_metrics_all_models"),
-                      "chosen_params", F.col("split_rows").alias("splits")))
+                      "chosen_params", F.col("split_rows").alias("splits"), "split_bounds"))
     files.write_document(summary, _p(out_dir, "evaluation_summary"))

@@ -24,6 +24,15 @@ SERVE_FIELDS = (
     "2nd_serve_win_pct",
     "bp_saved_pct",
 )
+# ratio -> (numerator, denominator), as differences of the serve counts
+SERVE_RATIOS = {
+    "1st_serve_pct": ("1stIn", "svpt"),
+    "1st_serve_win_pct": ("1stWon", "1stIn"),
+    "2nd_serve_win_pct": ("2ndWon", "svpt - 1stIn"),
+    "bp_saved_pct": ("bpSaved", "bpFaced"),
+    "ace_rate": ("ace", "svpt"),
+    "df_rate": ("df", "svpt"),
+}
 ROUND_ORDINAL = {"R128": 1, "R64": 2, "R32": 3, "R16": 4, "QF": 5, "SF": 6, "F": 7, "RR": 4, "BR": 5}
 HAND_CODE = {("R", "R"): 0, ("R", "L"): 1, ("L", "R"): 2, ("L", "L"): 3}
 # sklearn-style calibration edges are np.linspace(0, 1, 11) as doubles
@@ -37,7 +46,14 @@ NUMERIC_FEATURES = (
     "rank_diff", "rank_points_diff", "peak_rank_diff", "age_diff", "height_diff",
     "best_of", "round_ordinal", "handedness",
 )
-ONE_HOT_PREFIXES = ("surface_", "tourney_level_", "player1_cluster_", "player2_cluster_")
+CLUSTER_FEATURES = ("player1_cluster_", "player2_cluster_")
+# player1/player2 pairs, in the reference's column order
+PAIRS = ("elo", "global_form", "surface_form", "fatigue", "rank", "rank_points", "age", "ht", "hand",
+         "id", "name", "peak_rank", *[f"avg_{f}" for f in SERVE_FIELDS])
+DIFFS = (("elo_diff", "elo"), ("global_form_diff", "global_form"), ("surface_form_diff", "surface_form"),
+         ("fatigue_diff", "fatigue"), ("rank_diff", "rank"), ("rank_points_diff", "rank_points"),
+         ("age_diff", "age"), ("height_diff", "ht"), ("peak_rank_diff", "peak_rank"),
+         *[(f"avg_{f}_diff", f"avg_{f}") for f in SERVE_FIELDS])
 # ---------------------------------------------------------------------------
 
 
@@ -78,9 +94,6 @@ class Settings:
     # rating pools: ratings are kept per player and per value of these columns
     # (more keys = more independent sequential walks = more parallelism)
     rating_pools: tuple[str, ...] = ("surface",)
-    # "auto" history plan: one window per player when the largest player
-    # history is at most this many rows, the chunked plan above it
-    window_group_limit: int = 2_000_000
 
     @staticmethod
     def reference() -> "Settings":

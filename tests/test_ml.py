@@ -25,7 +25,7 @@ def separable(spark):
 
 def test_logistic_recovers_separable_rule(spark, separable):
     tr, va = (separable.where(F.col("split") == s) for s in ("train", "val"))
-    g = ML.Grids.default()
+    g = ML.Grids.reduced()
     f = ML.fit_logistic(tr, va, ["elo_diff", "rank_diff"], S, g)
     assert f.val_metrics["accuracy"] > 0.9
     assert f.params["C"] in g.logistic_c
