@@ -5,10 +5,11 @@ over the predictions; nothing is collected.
 
 Exact AUC at scale (AGG8/AGG17). A window over all distinct scores of a slice
 would run in one task. Two levels instead: (a) per (slice, score) positive and
-negative counts (partial aggregation); (b) scores are bucketed by
-``floor(p * buckets)``, bucket totals get a prefix sum over at most
-``buckets + 1`` rows per slice; (c) within a bucket, a prefix over its distinct
-scores. AUC = sum(pos * (2 * neg_below + neg)) / (2 * P * N), numerator summed
+negative counts (partial aggregation), range-partitioned by slice and score and
+written once; (b) a bucket is one range partition, so buckets hold about equally
+many distinct scores however close together these lie, and bucket totals get a
+prefix sum over at most one row per partition and slice; (c) within a bucket, a
+prefix over its distinct scores. AUC = sum(pos * (2 * neg_below + neg)) / (2 * P * N), numerator summed
 as an exact decimal. No window group is larger than one bucket of one slice.
 """
 
@@ -18,11 +19,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import attach_row
+from ..session import materialize
 from ..functions.scalar import (calibration_bin, clip_prob, hard_label, is_upset, left_closed_bin,
                                 loser_prob, right_closed_bin, right_closed_edges, year_of)
 
 UNB = Window.unboundedPreceding
-BUCKETS = 65536
 
 
 def _c(x) -> Column:
@@ -33,12 +34,15 @@ def _one_row_join(df: DataFrame, stats: DataFrame) -> DataFrame:
     return attach_row(df, stats)
 
 
-def ranked_points(df: DataFrame, keys: list[str], y: str, p: str, buckets: int = BUCKETS) -> DataFrame:
+def ranked_points(df: DataFrame, keys: list[str], y: str, p: str) -> DataFrame:
     """Distinct scores per key with pos, neg, and neg_below / pos_below (counts
-    with a strictly lower score), two-level prefix."""
-    pts = df.groupBy(*keys, p).agg(F.sum(y).cast("long").alias("pos"),
+    with a strictly lower score), two-level prefix; ``_b`` numbers the buckets.
+    Rows without a score take no part."""
+    pts = df.where(F.col(p).isNotNull()).groupBy(*keys, p).agg(F.sum(y).cast("long").alias("pos"),
                                    (F.count(F.lit(1)) - F.sum(y)).cast("long").alias("neg"))
-    pts = pts.withColumn("_b", F.floor(F.col(p) * buckets))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written, because range bounds come from a sample: every reader must see the same buckets
+    pts = materialize(pts.repartitionByRange(n, *keys, p).withColumn("_b", F.spark_partition_id()), "ranked-scores")
     bw = Window.partitionBy(*keys).orderBy("_b").rowsBetween(UNB, -1)
     bt = (pts.groupBy(*keys, "_b").agg(F.sum("neg").alias("_bneg"), F.sum("pos").alias("_bpos"))
           .withColumns({"_nb": F.coalesce(F.sum("_bneg").over(bw), F.lit(0)),
@@ -52,9 +56,9 @@ def ranked_points(df: DataFrame, keys: list[str], y: str, p: str, buckets: int =
             .drop("_nb", "_pb"))
 
 
-def auc_by(df: DataFrame, keys: list[str], y: str, p: str, buckets: int = BUCKETS) -> DataFrame:
+def auc_by(df: DataFrame, keys: list[str], y: str, p: str) -> DataFrame:
     """AGG8: exact ROC AUC with ties counted half, per key; NULL with one class."""
-    pts = ranked_points(df, keys, y, p, buckets)
+    pts = ranked_points(df, keys, y, p)
     num = (F.col("pos").cast("decimal(38,0)") * (F.col("neg_below") * 2 + F.col("neg")).cast("decimal(38,0)"))
     agg = pts.groupBy(*keys).agg(F.sum(num).alias("_num"), F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     auc = F.col("_num").cast("double") / (F.lit(2.0) * F.col("_P").cast("double") * F.col("_N").cast("double"))
@@ -166,21 +170,20 @@ def top_upsets(pred: DataFrame, prob: str, k: int = 20, y: str = "target", key:
     return upsets(pred, prob, y).orderBy(F.col("loser_prob").desc(), F.col(key)).limit(k)
 
 
-def roc_points(pred: DataFrame, prob_cols: dict[str, str], y: str = "target",
-               buckets: int = BUCKETS) -> DataFrame:
+def roc_points(pred: DataFrame, prob_cols: dict[str, str], y: str = "target") -> DataFrame:
     """AGG17: ROC curve points per model (sklearn ``roc_curve`` semantics:
     distinct thresholds in descending order, collinear points dropped, an
     initial (0, 0) point at threshold +inf). All models in one pass."""
     long = pred.unpivot([y], list(prob_cols.values()), "_col", "p")
     names = F.create_map(*[F.lit(x) for kv in ((v, k) for k, v in prob_cols.items()) for x in kv])
     long = long.select(F.element_at(names, F.col("_col")).alias("model"), F.col(y).cast("int").alias("_y"), "p")
-    pts = ranked_points(long, ["model"], "_y", "p", buckets)
+    pts = ranked_points(long, ["model"], "_y", "p")
     tot = pts.groupBy("model").agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
     # descending thresholds: tps / fps = counts at or above the threshold
     pts = (pts.join(tot, "model")
            .withColumns({"tps": F.col("_P") - F.col("pos_below"), "fps": F.col("_N") - F.col("neg_below")}))
     # the next lower distinct threshold's increment decides collinearity
-    nxt = _next_lower(pts, buckets)
+    nxt = _next_lower(pts)
     keep = (F.col("_next_pos").isNull() | F.col("_is_top")
             | (F.col("_next_pos") != F.col("pos")) | (F.col("_next_neg") != F.col("neg")))
     curve = nxt.where(keep).select(
@@ -192,7 +195,7 @@ def roc_points(pred: DataFrame, prob_cols: dict[str, str], y: str = "target",
     return curve.unionByName(origin)
 
 
-def _next_lower(pts: DataFrame, buckets: int) -> DataFrame:
+def _next_lower(pts: DataFrame) -> DataFrame:
     """For each distinct threshold: pos/neg of the next lower threshold and
     whether it is the highest one, without a window over all thresholds."""
     w = Window.partitionBy("model", "_b").orderBy(F.col("p").desc())

@@ -23,13 +23,23 @@ def _pairwise_auc(y, p):
     return s / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("buckets", [4, 65536])
-def test_auc_two_level_equals_pairwise(spark, buckets):
+def _with_partitions(spark, n, run):
+    """Scores are ranked in as many ranges as there are shuffle partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        return run()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "64"])
+def test_auc_two_level_equals_pairwise(spark, partitions):
     rnd = random.Random(7)
     rows = [(g, rnd.randint(0, 1), round(rnd.random(), 2)) for g in ("a", "b") for _ in range(300)]
     rows += [("c", 1, 0.5), ("c", 1, 0.7)]  # one class
     df = spark.createDataFrame(rows, "g string, y int, p double")
-    got = {r.g: r.auc_roc for r in E.auc_by(df, ["g"], "y", "p", buckets).collect()}
+    got = {r.g: r.auc_roc for r in _with_partitions(spark, partitions, lambda: E.auc_by(df, ["g"], "y", "p").collect())}
     for g in ("a", "b"):
         sub = [(y, p) for gg, y, p in rows if gg == g]
         assert got[g] == pytest.approx(_pairwise_auc(*zip(*sub)), abs=1e-12)
@@ -71,7 +81,7 @@ def test_roc_points_match_reference_curve(spark):
     rnd = random.Random(3)
     rows = [(rnd.randint(0, 1), round(rnd.random(), 1), round(rnd.random(), 3)) for _ in range(400)]
     df = spark.createDataFrame(rows, "target int, a double, b double")
-    got = E.roc_points(df, {"m1": "a", "m2": "b"}, buckets=8).collect()
+    got = E.roc_points(df, {"m1": "a", "m2": "b"}).collect()
     for m, c in (("m1", 1), ("m2", 2)):
         mine = sorted((r.fpr, r.tpr, r.threshold) for r in got if r.model == m)
         ref = _roc_reference([r[0] for r in rows], [r[c] for r in rows])

@@ -105,3 +105,19 @@ def test_has_token(spark, text, token):
     from duelspark.functions.scalar import has_token
     df = spark.createDataFrame([(text,)], "score string")
     assert df.select(has_token("score", S.bad_score_tokens)).first()[0] is token
+
+
+def test_crowded_scores_keep_groups_bounded(spark):
+    from duelspark.operators import evaluate
+    n = 4000
+    df = spark.range(n).select((F.lit(0.5) + F.col("id") * 1e-10).alias("p"), (F.col("id") * 7 % 3 == 0).cast("int").alias("y"),
+                               F.lit("s").alias("k"))
+    pts = evaluate.ranked_points(df, ["k"], "y", "p")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert pts.groupBy("_b").count().agg(F.max("count")).first()[0] <= 3 * n / parts
+    y = [int(i * 7 % 3 == 0) for i in range(n)]
+    below, wins = 0, 0
+    for v in y:
+        wins, below = (wins + below, below) if v else (wins, below + 1)
+    got = evaluate.auc_by(df, ["k"], "y", "p").first()["auc_roc"]
+    assert abs(got - wins / (sum(y) * (n - sum(y)))) < 1e-12
