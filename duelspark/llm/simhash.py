@@ -7,7 +7,7 @@ hashes have it. Two texts are linked when their fingerprints differ in at most `
 The join walks one binary trie of the distinct fingerprints against itself: a pair of nodes
 carries the number of bits in which their paths differ, is split into its child pairs, and is
 dropped once that number exceeds the error budget. The upper levels are the unit of
-distribution: the trie is cut into nodes of bounded size (deeper where fingerprints crowd), each
+distribution: the trie is cut into nodes of bounded size (as deep as crowding fingerprints ask), each
 node's fingerprints become one packed row, a node meets only the nodes that the budget allows
 on their common path, and every such pair of nodes is walked by one task. A task returns a
 spanning forest of its links (member, root of its part), not all pairs, so a crowd of near
@@ -21,6 +21,7 @@ component are null; repeated rows share their fingerprint; an empty table gives
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from itertools import accumulate
 
 import numpy as np
@@ -31,7 +32,9 @@ from pyspark.sql import functions as F
 
 from .common import materialize, pieces, raw_bytes, schema_with
 
-PREFIX_BITS = 16  # the cut looks at this many leading bits: at most 65,536 counts
+PREFIX_BITS = 16  # the cut first looks at this many leading bits: at most 65,536 counts
+STEP_BITS = 4     # and at this many more of the prefixes that are still too full, until none is
+PACKET = 32 << 20  # bytes of packed nodes in one batch
 LEAF = 8          # node pairs no larger than this are compared element by element
 FRONTIER = 1 << 14
 
@@ -140,24 +143,68 @@ def walk(values: np.ndarray, a: tuple[int, int], b: tuple[int, int], errors: int
             stack.append((bit - 1, nxt))
 
 
-def cut_nodes(counts: dict[int, int], most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Trie nodes (left-aligned prefixes and depths) that cover all fingerprints, each with at most
-    ``most`` of them where ``PREFIX_BITS`` bits allow it. ``counts``: fingerprints per prefix."""
-    keys = np.array(sorted(counts), np.int64)
-    sums = np.concatenate([[0], np.cumsum([counts[k] for k in keys])])
-    out, stack = [], [(0, 0)]
+def split_nodes(counts: dict[int, int], most: int, bits: int, roots: list[tuple[int, int]]) -> tuple[list, list]:
+    """The nodes (prefix, depth) below ``roots`` with at most ``most`` fingerprints each, and those of
+    depth ``bits`` that hold more. ``counts``: fingerprints per prefix of ``bits`` bits."""
+    keys = sorted(counts)
+    sums = [0, *accumulate(counts[k] for k in keys)]
+    out, crowded, stack = [], [], list(roots)
     while stack:
         prefix, depth = stack.pop()
-        width = PREFIX_BITS - depth
-        lo, hi = np.searchsorted(keys, [prefix << width, (prefix + 1) << width])
+        lo, hi = (bisect_left(keys, x << (bits - depth)) for x in (prefix, prefix + 1))
         if lo == hi:
             continue
-        if sums[hi] - sums[lo] <= most or depth == PREFIX_BITS:
-            out.append((prefix << (64 - depth) if depth else 0, depth))
+        if sums[hi] - sums[lo] <= most:
+            out.append((prefix, depth))
+        elif depth == bits:
+            crowded.append((prefix, depth))
         else:
             stack += [(prefix * 2 + 1, depth + 1), (prefix * 2, depth + 1)]
-    out.sort()
-    return np.array([p for p, _ in out], np.uint64), np.array([d for _, d in out], np.int64)
+    return out, crowded
+
+
+def aligned(nodes: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Left-aligned prefixes, ascending, and depths."""
+    placed = sorted((p << (64 - d), d) for p, d in nodes)
+    return np.array([p for p, _ in placed], np.uint64), np.array([d for _, d in placed], np.int64)
+
+
+def cut_nodes(counts: dict[int, int], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Trie nodes (left-aligned prefixes and depths) that cover all fingerprints, each with at most
+    ``most`` of them where ``PREFIX_BITS`` bits allow it. ``counts``: fingerprints per prefix."""
+    out, crowded = split_nodes(counts, most, PREFIX_BITS, [(0, 0)])
+    return aligned(out + crowded)
+
+
+def prefix_counts(fps: DataFrame, bits: int, within: list[tuple[int, int]] | None = None) -> dict[int, int]:
+    """Fingerprints per prefix of ``bits`` bits, below the nodes ``within`` (all of one depth)."""
+    if within is None:
+        rows = fps.select(F.shiftrightunsigned("_fp", 64 - bits).alias("p"))
+    else:
+        wanted = fps.sparkSession.sparkContext.broadcast(np.array([p for p, _ in within], np.uint64))
+        up = np.uint64(64 - within[0][1])
+
+        def inside(batches):
+            for b in batches:
+                v = b["_fp"].to_numpy(zero_copy_only=False).view(np.uint64)
+                p = v[np.isin(v >> up, wanted.value)] >> np.uint64(64 - bits)
+                yield pa.record_batch([pa.array(p.view(np.int64))], names=["p"])
+
+        rows = fps.select("_fp").mapInArrow(inside, "p long")
+    return {r["p"] % (1 << 64): r["n"] for r in rows.groupBy("p").agg(F.count("*").alias("n")).collect()}
+
+
+def cut_trie(fps: DataFrame, counts: dict[int, int], most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes with at most ``most`` fingerprints each, however fingerprints crowd: prefixes that are
+    too full are counted ``STEP_BITS`` deeper, round by round. A round brings the driver at most
+    2^STEP_BITS counts for every ``most`` fingerprints."""
+    bits = PREFIX_BITS
+    nodes, crowded = split_nodes(counts, most, bits, [(0, 0)])
+    while crowded:
+        bits += STEP_BITS
+        done, crowded = split_nodes(prefix_counts(fps, bits, crowded), most, bits, crowded)
+        nodes += done
+    return aligned(nodes)
 
 
 def trie_links(fps: DataFrame, errors: int = 3, most: int = 1 << 18) -> DataFrame:
@@ -165,13 +212,11 @@ def trie_links(fps: DataFrame, errors: int = 3, most: int = 1 << 18) -> DataFram
     connected by edges if and only if links of at most ``errors`` bits connect them. ``most``:
     fingerprints per trie node (the bound on a task's memory); smaller inputs are cut finer."""
     spark = fps.sparkSession
-    top = F.shiftrightunsigned("_fp", 64 - PREFIX_BITS).alias("p")
-    counts = {r["p"]: r["n"] for r in fps.groupBy(top).agg(F.count("*").alias("n")).collect()}  # <= 65,536 rows
+    counts = prefix_counts(fps, PREFIX_BITS)  # at most 65,536 rows
     total = sum(counts.values())
     if not total:
         return spark.createDataFrame([], "a long, b long")
-    prefixes, depths = cut_nodes(counts, max(1024, min(most, total // 48)))
-    nodes = spark.sparkContext.broadcast((prefixes, depths))
+    nodes = spark.sparkContext.broadcast(cut_trie(fps, counts, min(most, max(1024, total // 48))))
 
     def place(batches):
         starts, _ = nodes.value
@@ -192,8 +237,10 @@ def trie_links(fps: DataFrame, errors: int = 3, most: int = 1 << 18) -> DataFram
                 gap = starts ^ starts[k]
                 gap = np.where(common == 0, np.uint64(0), gap >> (np.uint64(64) - np.maximum(common, np.uint64(1))))
                 mates = np.flatnonzero(np.bitwise_count(gap) <= errors).astype(np.int32)
-                yield pa.record_batch([pa.array(np.minimum(mates, k)), pa.array(np.maximum(mates, k)),
-                                       pa.array([packed] * len(mates), pa.binary())], names=["x", "y", "packed"])
+                per = max(1, PACKET // len(packed))
+                for m in (mates[i:i + per] for i in range(0, len(mates), per)):
+                    yield pa.record_batch([pa.array(np.minimum(m, k)), pa.array(np.maximum(m, k)),
+                                           pa.array([packed] * len(m), pa.binary())], names=["x", "y", "packed"])
 
     def join(table: pa.Table) -> pa.Table:
         runs = [np.frombuffer(x, np.uint64) for x in table["packed"].to_pylist()]
@@ -230,15 +277,20 @@ def component_labels(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def with_component(fingerprinted: DataFrame, errors: int = 3, doc_id: str = "doc_id") -> DataFrame:
-    """Adds ``component_id``, the least id reachable over links, to a stored table with ``_fp``."""
+def groups(fingerprinted: DataFrame, errors: int, doc_id: str) -> DataFrame:
+    """(_fp, _group, component_id) of every distinct fingerprint: ``_group`` is never null, the least
+    id of a group may be."""
     fps = materialize(fingerprinted.groupBy("_fp").agg(F.min(doc_id).alias("first")), "fingerprints")
     labels = component_labels(trie_links(fps, errors))
     rooted = fps.join(labels.select(F.col("node").alias("_fp"), "label"), "_fp", "left") \
-        .select("_fp", "first", F.coalesce("label", "_fp").alias("label"))
-    roots = rooted.groupBy("label").agg(F.min("first").alias("component_id"))
-    of = rooted.select("_fp", "label").join(roots, "label").select("_fp", "component_id")
-    return fingerprinted.drop("component_id").join(of, "_fp")
+        .select("_fp", "first", F.coalesce("label", "_fp").alias("_group"))
+    roots = rooted.groupBy("_group").agg(F.min("first").alias("component_id"))
+    return rooted.select("_fp", "_group").join(roots, "_group").select("_fp", "_group", "component_id")
+
+
+def with_component(fingerprinted: DataFrame, errors: int = 3, doc_id: str = "doc_id") -> DataFrame:
+    """Adds ``component_id``, the least id reachable over links, to a stored table with ``_fp``."""
+    return fingerprinted.drop("component_id").join(groups(fingerprinted, errors, doc_id).drop("_group"), "_fp")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, errors: int = 3, doc_id: str = "doc_id",
@@ -260,6 +312,6 @@ def first_of_each(docs: DataFrame, width: int = 3, errors: int = 3, doc_id: str
                          .withColumn("_row", F.monotonically_increasing_id()), "simhash")
     narrow = stored.select("_fp", "_row", F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("_hash"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_hash", "_row")
-    chosen = with_component(narrow, errors).groupBy("component_id").agg(F.min(order).alias("pick")) \
+    chosen = narrow.join(groups(narrow, errors, "doc_id"), "_fp").groupBy("_group").agg(F.min(order).alias("pick")) \
         .select(F.col("pick._row").alias("_row"))
     return stored.join(chosen, "_row", "left_semi").select(*columns)

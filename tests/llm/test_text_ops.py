@@ -87,6 +87,28 @@ def test_cut_covers_every_prefix():
         assert (k << 48) >> (64 - int(depths[at])) == int(starts[at]) >> (64 - int(depths[at]))
 
 
+def test_cut_goes_as_deep_as_a_crowd_asks(spark):
+    v = np.concatenate([np.arange(3000, dtype=np.uint64) * np.uint64(3), np.arange(500, dtype=np.uint64) << np.uint64(52)])
+    v = np.unique(np.concatenate([v, ~v]))
+    fps = spark.createDataFrame(pd.DataFrame({"_fp": v.view(np.int64), "doc_id": np.arange(len(v))}))
+    starts, depths = simhash.cut_trie(fps, simhash.prefix_counts(fps, simhash.PREFIX_BITS), 100)
+    at = np.searchsorted(starts, v, side="right") - 1
+    up = (64 - depths[at]).astype(np.uint64)
+    assert (v >> up == starts[at] >> up).all() and np.bincount(at).max() <= 100 and depths.max() > simhash.PREFIX_BITS
+    got = simhash.with_component(fps, 2).toPandas().sort_values("doc_id")["component_id"]
+    links = simhash.Forest(len(v))
+    i, j = np.triu_indices(len(v), 1)
+    near = simhash.distance(v[i], v[j]) <= 2
+    links.add(i[near], j[near])
+    assert got.tolist() == links.root.tolist()
+
+
+def test_groups_of_documents_without_ids_stay_apart(spark):
+    rows = [(None, "one two three four five"), (None, "six seven eight nine ten eleven"), (None, "one two three four five")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["text"] for r in simhash.first_of_each(d).collect()) == [rows[0][1], rows[1][1]]
+
+
 def test_near_duplicates_edges(odd, none, spark):
     got = simhash.near_duplicates(odd).toPandas()
     assert len(got) == 8
