@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType, TimestampNTZType,
                                TimestampType)
 
-from .stats import exact_quantiles
+from ..session import materialize
+from .stats import quantile_table
 
 QUARTILES = (0.25, 0.5, 0.75)
+DESCRIBED = ("column string, count long, unique long, top string, freq long, mean double, std double, min double, "
+             "`25%` double, `50%` double, `75%` double, max double")
 
 
 def select_known(df: DataFrame, cols: list[str] | None) -> DataFrame:
@@ -44,45 +47,38 @@ def shape(df: DataFrame) -> DataFrame:
         "rows", F.lit(len(df.columns)).alias("columns"), F.lit(",".join(df.columns)).alias("column_names"))
 
 
-def describe(df: DataFrame, accuracy: int = 10000, exact_distinct: bool = True) -> DataFrame:
+def describe(df: DataFrame) -> DataFrame:
     """AGG19: one row per column: count, unique, top, freq (strings,
     booleans, dates and timestamps, as text), mean,
-    std (sample), min, 25%, 50%, 75% (exact, linear), max (numbers).
-    ``exact_distinct=False`` counts distinct values with HyperLogLog (the
-    option for very wide tables)."""
+    std (sample), min, 25%, 50%, 75% (exact, linear), max (numbers)."""
     from ..session import kept
-    with kept(df) as d:  # several passes below (SNK6)
-        return _describe(d, accuracy, exact_distinct)
+    with kept(df) as d:  # three tables are written from it (SNK6)
+        return _describe(d)
 
 
-def _describe(df: DataFrame, accuracy: int, exact_distinct: bool = True) -> DataFrame:
-    spark = df.sparkSession
+def _describe(df: DataFrame) -> DataFrame:
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     plain = (StringType, BooleanType, DateType, TimestampType, TimestampNTZType)
     txt = [f.name for f in df.schema.fields if isinstance(f.dataType, plain)]
-    df = df.withColumns({f.name: F.col(f.name).cast("string") for f in df.schema.fields
-                         if f.name in txt and not isinstance(f.dataType, StringType)})
-    aggs = []
-    for c in num:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
-    for c in txt:
-        distinct = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
-        aggs += [F.count(c).alias(f"{c}__n"), distinct.alias(f"{c}__u")]
-    base = df.agg(*aggs).first() if aggs else None
-    quart = exact_quantiles(df, num, list(QUARTILES), accuracy=accuracy) if num else {}
-    rows = []
-    for c in df.columns:
-        if c in num:
-            q = quart[c]
-            rows.append((c, base[f"{c}__n"], None, None, None, base[f"{c}__mean"], base[f"{c}__std"],
-                         base[f"{c}__min"], q[0], q[1], q[2], base[f"{c}__max"]))
-        elif c in txt:
-            top = (df.where(F.col(c).isNotNull()).groupBy(c).count()
-                   .orderBy(F.col("count").desc(), F.col(c)).limit(1).collect())
-            rows.append((c, base[f"{c}__n"], base[f"{c}__u"], top[0][0] if top else None,
-                         top[0][1] if top else None, None, None, None, None, None, None, None))
-    schema = ("column string, count long, unique long, top string, freq long, mean double, std double, "
-              "min double, `25%` double, `50%` double, `75%` double, max double")
-    return spark.createDataFrame(rows, schema)
+    none = F.lit(None).cast("double")
+    if not num and not txt:
+        return df.sparkSession.createDataFrame([], DESCRIBED)
+    sums, rows = [], []
+    for i, c in enumerate([*num, *txt]):
+        x = F.col(c).cast("double" if c in num else "string")
+        parts = {"count": F.count(x)} | ({"mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x)}
+                                         if c in num else {})
+        sums += [e.alias(f"{i}_{k}") for k, e in parts.items()]
+        rows.append(F.struct(F.lit(c).alias("column"), F.col(f"{i}_count").alias("count"), *[
+            (F.col(f"{i}_{k}") if k in parts else none).alias(k) for k in ("mean", "std", "min", "max")],
+            F.lit(i if c in num else None).cast("int").alias("c"), F.lit(None if c in num else i).cast("int").alias("t")))
+    base = materialize(df.agg(*sums), "column-sums").select(F.inline(F.array(*rows)))
+    words = F.array(*[F.struct(F.lit(i).alias("t"), F.col(c).cast("string").alias("v"))
+                      for i, c in enumerate(txt, len(num))]) if txt else F.array().cast("array<struct<t:int,v:string>>")
+    texts = df.select(F.inline(words)).where("v IS NOT NULL").groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
+    tops = materialize(texts.groupBy("t").agg(F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"),
+                                              F.min_by("v", F.struct(-F.col("n"), "v")).alias("top")), "column-tops")
+    quart = quantile_table(df, num, list(QUARTILES)) if num else df.sparkSession.createDataFrame([], "c int, q array<double>")
+    return base.join(tops, "t", "left").join(quart, "c", "left").select(
+        "column", "count", F.when(F.col("t").isNotNull(), F.coalesce("unique", F.lit(0))).alias("unique"), "top", "freq",
+        "mean", "std", "min", *[F.col("q")[i].alias(f"{int(100 * x)}%") for i, x in enumerate(QUARTILES)], "max")
