@@ -54,18 +54,27 @@ def plain_covered(runs, least):
     return out
 
 
-def test_repeated_matches_plain(spark):
+@pytest.mark.parametrize("per_group", [pages.PER_GROUP, 3])
+def test_repeated_matches_plain(spark, per_group):
     rng = np.random.default_rng(2)
     texts = {" ".join(rng.choice(list("abc"), rng.integers(1, 30))): int(rng.integers(1, 3)) for _ in range(60)}
     rows = [("h", pages.run_id(t), t, n) for t, n in texts.items()] + [("other", pages.run_id("a b"), "a b", 1)]
     df = spark.createDataFrame(rows, "host string, run binary, text string, n_pages long")
-    got = {bytes(r["run"]): r for r in pages.uncovered(df, pages.repeated(df, 4)).where("host = 'h'").collect()}
+    got = {bytes(r["run"]): r for r in pages.uncovered(df, pages.repeated(df, 4, per_group)).where("host = 'h'").collect()}
     for t, gone in plain_covered(texts, 4).items():
         r = got[pages.run_id(t)]
         assert r["covered"] == len(gone)
         assert r["rest"] == " ".join(x for i, x in enumerate(t.split(" ")) if i not in gone)
 
 
+def test_one_very_frequent_substring(spark):
+    texts = ["ha " * 30000 + "end", "so " + "ha " * 9 + "stop"]
+    df = spark.createDataFrame([("h", pages.run_id(t), t, 1) for t in texts],
+                               "host string, run binary, text string, n_pages long")
+    got = {bytes(r["run"]): r["rest"] for r in pages.uncovered(df, pages.repeated(df, 8, 64)).collect()}
+    assert [got[pages.run_id(t)] for t in texts] == ["end", "so stop"]
+
+
 def test_boilerplate_without_article(spark):
     shared = "all rights reserved by the owners of this fine site forever"
     rows = [(i, f"http://h.org/{i}", f"<div>{shared}</div><div>story number {i} is told here</div>") for i in range(4)]
