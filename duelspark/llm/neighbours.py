@@ -14,7 +14,7 @@
 Scores are inner products in double precision of the original vectors, each the sum of one
 row's products in a fixed order, so equal vectors have equal scores. Edge cases: vectors that are
 null, all zero, of another length than the most common one, or with null or non-finite components
-take no part; rows with a null id neither; repeated rows of an id are one row; fewer than ``k``
+take no part; rows with a null id neither; repeated rows of an id are one row (the least vector); fewer than ``k``
 candidates give all of them; an empty table gives an empty result.
 """
 
@@ -158,7 +158,7 @@ def usable(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     bad = F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     good = rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("v")) \
         .where(F.col("vec_id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda c: c != 0))
-    good = materialize(good.dropDuplicates(["vec_id"]), "vectors")
+    good = materialize(good.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
     sizes = good.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows"))
     most = sizes.orderBy(F.desc("rows"), "n").limit(1).collect()
     return good.where(F.size("v") == (most[0]["n"] if most else 0))
