@@ -88,6 +88,16 @@ def test_boilerplate_without_article(spark):
     assert pages.main_text(df.where("false")).count() == 0
 
 
+def test_empty_container_and_self_closing_elements(spark):
+    rows = [(1, "http://h.org/1", "<main></main><div>the story stands beside its container</div>"),
+            (2, "http://h.org/2", "<script src='a.js'/><article>kept <svg viewBox=\"0 0 1 1\"/>words</article>"),
+            (3, "http://h.org/3", "<title/><p>one <iframe src=x /> two</p>"),
+            (4, "http://h.org/4", "<main>inside</main><div>outside</div>")]
+    got = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).toPandas()
+    assert dict(zip(got["page_id"], got["text"])) == {1: "the story stands beside its container", 2: "kept words",
+                                                      3: "one two", 4: "inside"}
+
+
 def plain_search(ids, x, wanted, k):
     for q in wanted:
         s = (x * x[ids == q][0]).sum(axis=1)
