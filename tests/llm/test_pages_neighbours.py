@@ -98,6 +98,33 @@ def test_empty_container_and_self_closing_elements(spark):
                                                       3: "one two", 4: "inside"}
 
 
+@pytest.mark.parametrize("per_group", [pages.PER_GROUP, 3])
+def test_repeats_within_one_page_are_content(spark, per_group):
+    rng = np.random.default_rng(5)
+    runs = {" ".join(rng.choice(list("abc"), rng.integers(4, 20))): set(rng.integers(0, 4, rng.integers(1, 3)).tolist())
+            for _ in range(25)}
+    rows = [("h", pages.run_id(t), t, len(p), min(p), max(p)) for t, p in runs.items()]
+    df = spark.createDataFrame(rows, "host string, run binary, text string, n_pages long, first_page long, last_page long")
+    got = {bytes(r["run"]): r["rest"] for r in pages.uncovered(df, pages.repeated(df, 4, per_group)).collect()}
+    where = {}
+    for t, p in runs.items():
+        w = t.split(" ")
+        for i in range(len(w) - 3):
+            where.setdefault(tuple(w[i:i + 4]), set()).update(p)
+    for t in runs:
+        w = t.split(" ")
+        gone = {j for i in range(len(w) - 3) if len(where[tuple(w[i:i + 4])]) > 1 for j in range(i, i + 4)}
+        assert got[pages.run_id(t)] == " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def test_refrain_and_copied_page_keep_their_text(spark):
+    refrain = "and so the river went on down to the sea"
+    song = f"<p>first verse {refrain}</p><p>second verse {refrain}</p>"
+    rows = [(1, "http://s.org/1", song), (2, "http://c.org/a", song), (3, "http://c.org/b", song)]
+    got = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).toPandas()
+    assert (got["text"] == f"first verse {refrain} second verse {refrain}").all() and (got["n_boilerplate"] == 0).all()
+
+
 def plain_search(ids, x, wanted, k):
     for q in wanted:
         s = (x * x[ids == q][0]).sum(axis=1)
