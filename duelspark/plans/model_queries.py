@@ -153,7 +153,7 @@ OUT = {"logistic_regression": "lr_prob", "random_forest": "rf_prob", "boosted_tr
 def fitted(spark, sf_dir, name: str) -> ML.Fitted:
     def build():
         tr, va, _ = _splits(spark, sf_dir)
-        return _FITTERS[name](tr, va, _features(spark, sf_dir), S, ML.Grids.reduced())
+        return _FITTERS[name](tr, va, _features(spark, sf_dir), S, ML.Grids.reference())
     return _memo(spark, sf_dir, f"fit:{name}", build)
 
 

@@ -81,3 +81,15 @@ def test_first_trees_equals_prefix_fit(spark, separable):
     a = [r.probability[1] for r in cut.transform(tr).select("probability").collect()]
     b = [r.probability[1] for r in ref.transform(tr).select("probability").collect()]
     assert a == pytest.approx(b, abs=1e-12)
+
+
+def test_registered_queries_fit_the_full_grids(monkeypatch):
+    from duelspark.plans import model_queries as Q
+    used = []
+    monkeypatch.setattr(Q, "_memo", lambda spark, sf_dir, key, fn: fn())
+    monkeypatch.setattr(Q, "_splits", lambda spark, sf_dir: (None, None, None))
+    monkeypatch.setattr(Q, "_features", lambda spark, sf_dir: [])
+    monkeypatch.setattr(Q, "_FITTERS", {n: lambda tr, va, cols, s, grids: used.append(grids) for n in Q.OUT})
+    for name in Q.OUT:
+        Q.fitted(None, "", name)
+    assert used == [ML.Grids.reference()] * 3
