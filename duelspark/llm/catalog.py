@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contextmix, imatch, linededup, mixing, neighbours, packing, pages, simhash, toxicity, urllist
+from . import (contextmix, imatch, linededup, mixing, neighbours, packing, pages, partcodes, setsketch, simhash, toxicity,
+               urllist, variants)
 from .common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +135,59 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(read(spark, sf_dir, "documents"), width=2, percent=80)
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(read(spark, sf_dir, "documents"), damage=97)
+
+
+@query
+def op13_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = partcodes.compress(read(spark, sf_dir, "embeddings"))
+    return partcodes.with_label_error(coded).select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def _part_codes_sql(rounds: int = 4) -> str:
+    """Unrolled k-means: d<t> are the codes of round t by full search, b<t> the codebooks they are made with."""
+    steps = ["""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+cut AS (
+  SELECT vec_id, label, p, list_slice(v, CAST(p * len(v) // 4 + 1 AS BIGINT), CAST((p + 1) * len(v) // 4 AS BIGINT)) AS part
+  FROM kept, range(4) r(p)),
+b0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS entry, part
+  FROM cut WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256))"""]
+    for t in range(rounds + 1):
+        steps.append(f"""d{t} AS (
+  SELECT vec_id, p, min(struct_pack(dist := dist, entry := entry)) AS best
+  FROM (SELECT c.vec_id, c.p, entry, list_sum(list_transform(list_zip(c.part, b.part), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS dist
+        FROM cut c JOIN b{t} b ON c.p = b.p) GROUP BY vec_id, p)""")
+        if t < rounds:
+            steps.append(f"""m{t} AS (
+  SELECT p, entry, list(mean ORDER BY i) AS part FROM (
+    SELECT p, entry, i, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+    FROM (SELECT cut.p, best.entry AS entry, generate_subscripts(part, 1) AS i, unnest(part) AS x
+          FROM cut JOIN d{t} ON cut.vec_id = d{t}.vec_id AND cut.p = d{t}.p) GROUP BY p, entry, i) GROUP BY p, entry),
+b{t + 1} AS (
+  SELECT b.p, b.entry, coalesce(m.part, b.part) AS part
+  FROM b{t} b LEFT JOIN m{t} m ON b.p = m.p AND b.entry = m.entry)""")
+    return ",\n".join(steps) + f""",
+coded AS (
+  SELECT kept.vec_id, any_value(label) AS label, string_agg(printf('%02x', best.entry), '' ORDER BY p) AS code,
+         CAST(sum(best.dist) AS BIGINT) AS error
+  FROM kept JOIN d{rounds} USING (vec_id) GROUP BY kept.vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(part, ','), ',' ORDER BY p, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM coded"""
+
+
+ORACLES["op13_part_codes"] = _part_codes_sql()

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from duelspark.session import materialize, table_path
 
-__all__ = ["read", "materialize", "parts", "spread", "raw_bytes", "pieces", "chunked_by_rows", "schema_with"]
+__all__ = ["read", "materialize", "parts", "spread", "raw_bytes", "pieces", "chunked_by_rows", "schema_with", "unused"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,6 +21,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def parts(rows: int, per_part: int) -> int:
     """Number of parts of about ``per_part`` rows: grows with the input, never below one."""
     return max(1, math.ceil(rows / per_part))
