@@ -8,13 +8,17 @@ integer that merges by maximum, and that two sets share about as often as they s
 1. Equal sets are one class, so copies cost one row. Classes, not documents, are compared.
 2. Registers are banded (BANDS bands of WIDTH registers); two sets of similarity 0.8 agree on no band
    with probability (1 - 0.8**5)**40 = 1.2e-7 at most, and far less above 0.8.
-3. Star round: every class is held against one class only, the least of all its buckets. What the
-   check confirms becomes links and components, so a crowd of near copies costs one pair a member.
-4. Rest: buckets whose members still lie in several components are compared in blocks of at most
-   BLOCK members, pairs across components only. Register agreement gives the likelihood of the
-   similarity J; a pair goes on if the most likely J is at least ``floor`` (six standard deviations
-   below the threshold). No cap on members, partners or candidates.
-5. Check: both rounds confirm their pairs on the full sets, made again from the candidates' texts.
+3. Star rounds: a class is first held against one class, the one that is the least of most of its
+   buckets, then, in buckets whose members still lie in several components, against the CENTRES
+   randomly chosen members it meets most often. What the full sets confirm becomes links and
+   components, so a crowd of near copies costs a few pairs a member.
+4. Rest: what is left in several components is compared in blocks of at most BLOCK members, pairs
+   across components only, each in the first band that it shares. Register agreement gives the
+   likelihood of the similarity J; a pair is credible if the most likely J is at least ``floor_of`` (six
+   standard deviations below the threshold). The most likely first, credible pairs are confirmed on the
+   full sets where they are compared, unless links found before already join them; only links come out.
+   No cap on members, partners or candidates.
+The full sets are made again from the texts of the classes that share a bucket with another.
 
 Edge cases: a text with fewer words than ``width`` is one shingle; null and wordless texts have an
 empty set, are linked with nothing and stay alone; null ids take part in links but are a component's
@@ -36,6 +40,7 @@ from .simhash import component_labels
 WIDTH, BANDS = 5, 40
 REGISTERS = WIDTH * BANDS
 BASE, RATE, LEVELS = 1.02, 64.0, 2500  # scale of the registers; 64-bit minima stay inside 0 .. LEVELS
+CENTRES = 4         # centres that a class is held against in the second star round
 BLOCK = 1024        # members of a bucket that one comparison holds on each side
 AT_ONCE = 1 << 15   # hashes sketched together (the arrays of one pass stay in cache)
 
@@ -174,17 +179,19 @@ def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         .join(wanted.select("class", "key"), "key").select("class", "members")
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = np.concatenate([x, y])
+    both.sort()
+    inter = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * inter >= percent * (len(both) - inter)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes with 100 * intersection >= percent * union."""
     def run(batches):
         for b in pieces(batches, 1000):
-            ok = []
-            for x, y in zip(b["x"].to_pylist(), b["y"].to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                inter = int(np.count_nonzero(both[1:] == both[:-1]))
-                ok.append(100 * inter >= percent * (len(x) + len(y) - inter))
+            ok = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                  for x, y in zip(b["x"].to_pylist(), b["y"].to_pylist())]
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     with_a = pairs.join(sets.select(F.col("class").alias("a"), F.col("members").alias("x")), "a")
@@ -192,35 +199,85 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_b.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def likely_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of classes of unlike components that share a bucket and whose registers make a
-    similarity of ``percent`` credible. ``members``: (bucket, class, component, n, sketch, size)."""
+def split_buckets(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(bucket, class, component) of the buckets whose members lie in more than one component."""
+    if labels is None:
+        return members.select("bucket", "class", F.col("class").alias("component"))
+    placed = materialize(
+        members.join(labels.select(F.col("node").alias("class"), "label"), "class", "left")
+        .select("bucket", "class", F.coalesce("label", "class").alias("component")), "placed")
+    split = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .where("lo <> hi").select("bucket")
+    return materialize(placed.join(split, "bucket", "left_semi"), "split")
+
+
+def stars(apart: DataFrame, centre, most: int) -> DataFrame:
+    """Pairs (a, b) of a class and a centre of its buckets, in another component: for each class the
+    ``most`` centres that it meets in most buckets, so the pairs grow with the classes."""
+    centres = apart.groupBy("bucket").agg(centre.alias("pick")) \
+        .select("bucket", F.col("pick.class").alias("centre"), F.col("pick.component").alias("of"))
+    met = apart.join(centres, "bucket").where("component <> of").groupBy("class", "centre") \
+        .agg(F.count("*").alias("shared"))
+    best = F.sort_array(F.collect_list(F.struct((-F.col("shared")).alias("order"), "centre")))
+    return met.groupBy("class").agg(F.slice(best, 1, most).alias("best")) \
+        .select(F.col("class").alias("b"), F.explode("best.centre").alias("a")) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def remaining_links(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between unlike components that share a bucket: one for each pair of components that a
+    comparison finds linked. ``members``: (bucket, class, component, n, sketch, members).
+
+    A bucket is dealt out in blocks of BLOCK members at most, and a pair of blocks is compared at a time:
+    register agreement makes a pair credible, the full sets confirm it."""
     least = floor_of(percent / 100)
-    n_blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    dealt = members.withColumn("mine", F.pmod(F.xxhash64("class"), n_blocks).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1))) \
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = members.join(sizes, "bucket").withColumn("mine", F.pmod(F.xxhash64("class"), "blocks").cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
-                "class", "component", "n", "sketch")
+                "class", "component", "n", "sketch", "members")
     group = ["bucket", "i", "j"]
     ordered = dealt.repartition(*group).sortWithinPartitions(*group, "class")
 
     def compare(t: pa.Table) -> pa.RecordBatch:
         cls, comp, n, mine = (t[c].to_numpy() for c in ("class", "component", "n", "mine"))
         rows = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        left, right = mine == t["i"][0].as_py(), mine == t["j"][0].as_py()
+        bands = buckets(rows)
+        here = (bands == np.int64(t["bucket"][0].as_py()).astype(np.uint64)).argmax(axis=1)
+        sets = [np.frombuffer(x, np.uint64) for x in t["members"].to_pylist()]
         same = t["i"][0] == t["j"][0]
-        p = np.flatnonzero(right)
-        found = [(np.empty(0, np.int64),) * 2]
-        for q in np.flatnonzero(left):
-            r = p[(comp[p] != comp[q]) & (100 * np.minimum(n[p], n[q]) >= percent * np.maximum(n[p], n[q]))]
-            if same:
-                r = r[r > q]
-            if len(r):
-                greater, less = (rows[q] > rows[r]).sum(axis=1), (rows[q] < rows[r]).sum(axis=1)
-                r = r[likely_similarity(greater, less, np.full(len(r), n[q]), n[r]) >= least]
-                found.append((np.minimum(cls[q], cls[r]), np.maximum(cls[q], cls[r])))
-        a, b = (np.concatenate(x) for x in zip(*found))
-        return pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
+        forest = {c: c for c in set(comp.tolist())}
+
+        def top(c):
+            while forest[c] != c:
+                forest[c] = forest[forest[c]]
+                c = forest[c]
+            return c
+
+        _, of, count = np.unique(comp, return_inverse=True, return_counts=True)
+        crowd = of == count.argmax()  # the pairs of two members of the largest component need no look
+        every, met = np.arange(len(comp)), []
+        for q in np.flatnonzero(~crowd):
+            r = every[(crowd | (every > q)) & (comp != comp[q]) & (same | (mine != mine[q]))
+                      & (100 * np.minimum(n, n[q]) >= percent * np.maximum(n, n[q]))]
+            r = r[(bands[r] == bands[q]).argmax(axis=1) == here[q]]  # pairs that share an earlier band meet there
+            met.append(np.stack([np.full(len(r), q), r]))
+        met = np.concatenate(met, axis=1) if met else np.empty((2, 0), np.int64)
+        credible = []
+        for lo in range(0, met.shape[1], AT_ONCE):
+            q, r = met[:, lo:lo + AT_ONCE]
+            greater, less = (rows[q] > rows[r]).sum(axis=1), (rows[q] < rows[r]).sum(axis=1)
+            likely = likely_similarity(greater, less, n[q], n[r])
+            ok = likely >= least
+            credible += zip((-likely[ok]).tolist(), q[ok].tolist(), r[ok].tolist())
+        found = []
+        for _, q, r in sorted(credible):
+            x, y = top(comp[q]), top(comp[r])
+            if x != y and linked(sets[q], sets[r], percent):
+                forest[max(x, y)] = min(x, y)
+                found.append((cls[q], cls[r]))
+        return pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())],
+                               names=["a", "b"])
 
     def run(batches):
         held: list[pa.RecordBatch] = []  # rows of the group that is still open
@@ -250,24 +307,22 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80, doc_id:
                                   F.min("n").alias("n"), F.min("sketch").alias("sketch"))
         .withColumn("class", F.monotonically_increasing_id()), "classes")
     bands = materialize(banded(classes), "bands")
-    met = bands.groupBy("bucket").agg(F.count("*").alias("size"), F.min("class").alias("centre")).where("size > 1")
-    members = materialize(bands.join(met, "bucket"), "buckets")
+    met = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
+    members = materialize(bands.join(met, "bucket", "left_semi"), "buckets")
 
     wanted = classes.join(members.select("class").distinct(), "class", "left_semi")
     sets = materialize(full_sets(base, wanted, width), "sets")
-    star = members.where("class <> centre").groupBy("class").agg(F.min("centre").alias("centre")) \
-        .select(F.col("centre").alias("a"), F.col("class").alias("b"))
-    links = materialize(confirmed(star, sets, percent), "links")
-    labels = component_labels(links)
-
-    placed = materialize(
-        members.select("bucket", "class", "size")
-        .join(labels.select(F.col("node").alias("class"), "label"), "class", "left")
-        .select("bucket", "class", "size", F.coalesce("label", "class").alias("component")), "placed")
-    split = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
-        .where("lo <> hi").select("bucket")
-    rest = placed.join(split, "bucket", "left_semi").join(classes.select("class", "n", "sketch"), "class")
-    more = materialize(confirmed(likely_pairs(rest, percent), sets, percent), "links")
+    links, labels = None, None
+    member = F.struct("class", "component")
+    for centres, most in ((F.min(member), 1), (F.min_by(member, F.xxhash64("class", "bucket")), CENTRES)):
+        apart = split_buckets(members, labels)
+        pairs = materialize(stars(apart, centres, most), "stars")
+        found = confirmed(pairs, sets, percent)
+        links = materialize(found if links is None else links.union(found), "links")
+        labels = component_labels(links)
+    apart = split_buckets(members, labels)
+    rest = apart.join(classes.select("class", "n", "sketch"), "class").join(sets, "class")
+    more = materialize(remaining_links(rest, percent), "links")
     if not more.isEmpty():
         labels = component_labels(links.union(more))
 

@@ -80,15 +80,26 @@ def test_setsketch_links_at_the_threshold(spark):
     assert rows_of(got) == sorted(plain_duplicates(rows), key=str)
 
 
-def test_setsketch_rest_round_splits_buckets(spark, monkeypatch):
-    """Blocks smaller than a bucket: every pair across components is still met."""
+def test_setsketch_rest_round_joins_components(spark, monkeypatch):
+    """Blocks smaller than a bucket: components are joined wherever any of their members are linked."""
     monkeypatch.setattr(setsketch, "BLOCK", 3)
     rng = np.random.default_rng(4)
-    sets = [np.unique(rng.integers(0, 1 << 64, 60, dtype=np.uint64))] * 20
-    rows = [(7, i, i % 4, 60, setsketch.registers([s])[0].tobytes(), 20) for i, s in enumerate(sets)]
-    members = spark.createDataFrame(rows, "bucket long, class long, component long, n long, sketch binary, size long")
-    got = {tuple(r) for r in setsketch.likely_pairs(members, 80).collect()}
-    assert got == {(i, j) for i in range(20) for j in range(i + 1, 20) if i % 4 != j % 4}
+    base = rng.integers(0, 1 << 64, 100, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[2 * i:2 * i + 60], [np.uint64(9)]])) for i in range(20)]
+    sketches = setsketch.registers(sets)
+    shared = [(int(b), i) for i, row in enumerate(setsketch.buckets(sketches).view(np.int64)) for b in row]
+    rows = [(b, i, 100 + i % 10, len(sets[i]), sketches[i].tobytes(), sets[i].tobytes()) for b, i in shared]
+    members = spark.createDataFrame(rows, "bucket long, class long, component long, n long, sketch binary, members binary")
+    got = [tuple(r) for r in setsketch.remaining_links(members, 80).collect()]
+    assert got and all(setsketch.linked(sets[a], sets[b], 80) and a % 10 != b % 10 for a, b in got)
+
+    def parts(pairs):
+        top = list(range(10))
+        for a, b in pairs:
+            x, y = top[a % 10], top[b % 10]
+            top = [min(x, y) if t in (x, y) else t for t in top]
+        return top
+    assert parts(got) == parts([(i, j) for i in range(20) for j in range(i) if setsketch.linked(sets[i], sets[j], 80)])
 
 
 def test_registers_merge_and_estimate():
