@@ -7,11 +7,10 @@ side, so a prolific player costs one partial row per task, not a hot group).
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -61,38 +60,122 @@ class Sweep:
     k: int
     cost: float
     seed: int
-    model: KMeansModel
-
-
-def _assembled(profiles: DataFrame, fields) -> DataFrame:
-    z = standardize(profiles, list(fields), "_z")
-    return VectorAssembler(inputCols=[f"{f}_z" for f in fields], outputCol="features").transform(z)
+    centers: np.ndarray  # (k, fields), standardised
+
+
+def _standard(profiles: DataFrame, fields) -> DataFrame:
+    return standardize(profiles, list(fields), "_z")
+
+
+def _matrix(batch: pa.RecordBatch, fields) -> np.ndarray:
+    return np.stack([batch[f"{f}_z"].to_numpy(zero_copy_only=False) for f in fields], axis=1)
+
+
+def _squares(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    return ((x[:, None, :] - centers[None]) ** 2).sum(axis=2)
+
+
+def _draw(batch: pa.RecordBatch, seed: int, turn: int) -> np.ndarray:
+    """Exponential variables keyed by (seed, turn, player): the same on every run and partitioning."""
+    ids = batch["player_id"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    x = ids * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed * 1000003 + turn * 7919 + 1) * np.uint64(0xD1B54A32D192ED03)
+    for shift in (30, 27):  # mixing of 64 bits by shifts and odd factors
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(31)
+    return -np.log((x >> np.uint64(11)).astype(np.float64) * 2.0 ** -53 + 2.0 ** -54)
+
+
+def seed_centers(data: DataFrame, fields, seeds: list[int], most: int) -> np.ndarray:
+    """(seeds, most, fields): for every seed a sequence of starting centres, each drawn with probability
+    in proportion to the squared distance from those before it (the row of least exponential variable
+    over distance). One job per place of the sequence for all seeds; a task returns one row a seed."""
+    found = np.zeros((len(seeds), 0, len(fields)))
+    for turn in range(most):
+        def run(batches, found=found, turn=turn):
+            best: dict[int, tuple] = {}
+            for b in batches:
+                x, ids = _matrix(b, fields), b["player_id"].to_pylist()
+                for i, seed in enumerate(seeds):
+                    far = _squares(x, found[i]).min(axis=1) if turn else np.ones(len(x))
+                    with np.errstate(divide="ignore"):
+                        key = np.where(far > 0, _draw(b, seed, turn) / far, np.inf)
+                    at = int(key.argmin())
+                    drawn = (float(key[at]), ids[at], x[at].tolist())
+                    best[i] = min(best[i], drawn) if i in best else drawn
+            if best:
+                yield pa.record_batch([pa.array(list(best), pa.int32()), *map(pa.array, zip(*best.values()))],
+                                      names=["i", "key", "player_id", "x"])
+
+        rows = data.mapInArrow(run, "i int, key double, player_id long, x array<double>") \
+            .groupBy("i").agg(F.min(F.struct("key", "player_id", "x")).alias("best")).orderBy("i").collect()
+        found = np.concatenate([found, np.array([[r["best"]["x"]] for r in rows])], axis=1)
+    return found
+
+
+def assignment_sums(data: DataFrame, fields, centers: list[np.ndarray]):
+    """For all runs in one pass: per run its inertia, the rows and the component sums of each centre."""
+    def run(batches):
+        out: dict[tuple, np.ndarray] = {}
+        for b in batches:
+            x = _matrix(b, fields)
+            for r, c in enumerate(centers):
+                dist = _squares(x, c)
+                near = dist.argmin(axis=1)
+                for j in np.unique(near):
+                    mine = near == j
+                    row = np.array([mine.sum(), dist[mine, j].sum(), *x[mine].sum(axis=0)])
+                    out[r, int(j)] = out[r, int(j)] + row if (r, int(j)) in out else row
+        if out:
+            yield pa.record_batch([pa.array([k[0] for k in out]), pa.array([k[1] for k in out]),
+                                   *[pa.array(c) for c in np.stack(list(out.values())).T]], names=names)
+
+    values = ["n", "cost", *[f"s{i}" for i in range(len(fields))]]
+    names = ["run", "centre", *values]
+    rows = data.mapInArrow(run, "run long, centre long, " + ", ".join(f"{c} double" for c in values)) \
+        .groupBy("run", "centre").agg(*[F.sum(c).alias(c) for c in values]).collect()  # one row per centre
+    cost = np.zeros(len(centers))
+    count = [np.zeros(len(c)) for c in centers]
+    sums = [np.zeros_like(c) for c in centers]
+    for r in rows:
+        cost[r["run"]] += r["cost"]
+        count[r["run"]][r["centre"]] = r["n"]
+        sums[r["run"]][r["centre"]] = [r[c] for c in values[2:]]
+    return cost, count, sums
 
 
 def kmeans_sweep(profiles: DataFrame, s: Settings, fields=SERVE_FIELDS, restarts: int | None = None,
-                 max_iter: int = 300, parallel: int = 8) -> list[Sweep]:
-    """ML2: for each K, ``restarts`` seeded fits, keep the lowest inertia
-    (sum of squared distances). Input persisted once for all fits."""
-    data = _assembled(profiles, fields).select("player_id", "features").persist(StorageLevel.MEMORY_AND_DISK)
-    runs = [(k, s.seed + r) for k in s.k_range for r in range(restarts or s.kmeans_restarts)]
-
-    def fit(run):
-        k, seed = run
-        m = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol="features").fit(data)
-        return Sweep(k, m.summary.trainingCost, seed, m)
-
+                 max_iter: int = 300, tol: float = 1e-4) -> list[Sweep]:
+    """ML2: for each K, ``restarts`` seeded fits, keep the lowest inertia (sum of squared distances).
+
+    All fits advance together: one aggregate per iteration for all (K, seed, centre), until a fit's
+    centres move by at most ``tol`` in squared distance. A centre without rows stays where it is. Fewer
+    distinct profiles than K repeat starting centres, which then stay empty."""
+    data = _standard(profiles, fields).select("player_id", *[f"{f}_z" for f in fields])
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    seeds = [s.seed + r for r in range(restarts or s.kmeans_restarts)]
     try:
-        # independent fits are submitted concurrently (Spark schedules jobs
-        # from several driver threads); the choice below is order-independent
-        with ThreadPoolExecutor(max_workers=min(parallel, len(runs))) as pool:
-            fits = list(pool.map(fit, runs))
+        if data.isEmpty():
+            return []
+        start = seed_centers(data, fields, seeds, max(s.k_range))
+        runs = [(k, i) for k in s.k_range for i in range(len(seeds))]
+        centers = [start[i, :k].copy() for k, i in runs]
+        moving = list(range(len(runs)))
+        for _ in range(max_iter):
+            _, count, sums = assignment_sums(data, fields, [centers[r] for r in moving])
+            still = []
+            for r, n, total in zip(moving, count, sums):
+                new = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centers[r])
+                if ((new - centers[r]) ** 2).sum() > tol:
+                    still.append(r)
+                centers[r] = new
+            moving = still
+            if not moving:
+                break
+        cost, _, _ = assignment_sums(data, fields, centers)
     finally:
         data.unpersist()
-    out = []
-    for k in s.k_range:
-        cands = [f for f in fits if f.k == k]  # seeds in ascending order: first lowest wins ties
-        out.append(min(cands, key=lambda f: (f.cost, f.seed)))
-    return out
+    fits = [Sweep(k, float(c), seeds[i], x) for (k, i), c, x in zip(runs, cost, centers)]
+    return [min((f for f in fits if f.k == k), key=lambda f: (f.cost, f.seed)) for k in s.k_range]
 
 
 def inertia_table(spark, sweep: list[Sweep]) -> DataFrame:
@@ -113,10 +196,12 @@ def pick_elbow(curve: DataFrame) -> DataFrame:
     return x.agg(F.max_by("k", F.struct(F.col("dist"), -F.col("k"))).alias("k"))
 
 
-def assign_clusters(profiles: DataFrame, model: KMeansModel, fields=SERVE_FIELDS) -> DataFrame:
-    """ML4: player -> cluster with the chosen model."""
-    return (model.transform(_assembled(profiles, fields))
-            .select("player_id", "player_name", F.col("prediction").cast("int").alias("cluster"), *fields))
+def assign_clusters(profiles: DataFrame, centers: np.ndarray, fields=SERVE_FIELDS) -> DataFrame:
+    """ML4: player -> cluster, the nearest of the chosen centres (ties: the lower number)."""
+    z = _standard(profiles, fields)
+    places = F.array(*[F.struct(sum((F.pow(F.col(f"{f}_z") - float(v), 2) for f, v in zip(fields, c)), F.lit(0.0)).alias("d"),
+                                F.lit(j).alias("cluster")) for j, c in enumerate(centers)])
+    return z.select("player_id", "player_name", F.array_min(places)["cluster"].alias("cluster"), *fields)
 
 
 def centroids(assigned: DataFrame, fields=SERVE_FIELDS, digits: int = 3) -> DataFrame:

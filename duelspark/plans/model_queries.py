@@ -94,7 +94,7 @@ def _clusters(spark, sf_dir) -> DataFrame:
         sweep = _sweep(spark, sf_dir)
         k = P.pick_elbow(P.inertia_table(spark, sweep)).first()["k"]
         chosen = next(x for x in sweep if x.k == k)
-        return materialize(P.assign_clusters(_profiles(spark, sf_dir), chosen.model), "clusters")
+        return materialize(P.assign_clusters(_profiles(spark, sf_dir), chosen.centers), "clusters")
     return _memo(spark, sf_dir, "clusters", build)
 
 
@@ -198,7 +198,7 @@ def q_test_predictions(spark, sf_dir):
 @register("importances")
 def q_importances(spark, sf_dir):
     """ML11 + SRT3: top 20 features of the boosted model."""
-    return ML.importances(spark, fitted(spark, sf_dir, "boosted_trees"), _features(spark, sf_dir))
+    return ML.importances(spark, fitted(spark, sf_dir, "boosted_trees"))
 
 
 @register("model_description")

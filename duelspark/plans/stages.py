@@ -75,7 +75,7 @@ def cluster(spark: SparkSession, out_dir: str, s: Settings) -> int:
     curve = P.inertia_table(spark, sweep)
     files.write_small_csv(curve, _p(out_dir, "reports/kmeans_inertia"))
     k = P.pick_elbow(curve).first()["k"]
-    assigned = P.assign_clusters(prof, next(x for x in sweep if x.k == k).model)
+    assigned = P.assign_clusters(prof, next(x for x in sweep if x.k == k).centers)
     files.write_table(assigned.select("player_id", "player_name", "cluster"), _p(out_dir, "player_clusters"))
     files.write_small_csv(P.centroids(assigned), _p(out_dir, "reports/centroids"))
     return k
@@ -120,7 +120,7 @@ def model(spark: SparkSession, out_dir: str, s: Settings, grids: ML.Grids | None
            .withColumn("chosen_params", F.struct(*chosen)))
     files.write_document(doc, _p(out_dir, "model_schema"))
     # importances of the boosted model (SRT3 top 20)
-    files.write_small_csv(ML.importances(spark, fitted[2], feats), _p(out_dir, "reports/importances"))
+    files.write_small_csv(ML.importances(spark, fitted[2]), _p(out_dir, "reports/importances"))
     return {f.name: f.params for f in fitted}
 
 

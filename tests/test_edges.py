@@ -12,7 +12,6 @@ from duelspark.functions import scalar as X
 from duelspark.operators import evaluate as E
 from duelspark.operators.frames import attach_row
 from duelspark.operators import profiles as P
-from duelspark.operators.models import stop_round
 from duelspark.operators.stats import exact_quantiles
 
 
@@ -139,11 +138,6 @@ def test_elbow_matches_reference_rule(spark, ys):
     assert P.pick_elbow(curve).first()["k"] == _elbow_ref(ks, ys)
 
 
-def test_stop_round():
-    assert stop_round([5, 4, 3, 3.5, 3.6, 3.7], patience=2) == 3
-    assert stop_round([5, 4, 3, 2, 1], patience=2) == 5
-    assert stop_round([1, 2, 3, 4], patience=10) == 1
-
 
 @pytest.mark.parametrize("partitions", ["1", "64"])
 def test_exact_quantiles_match_numpy(spark, partitions):

@@ -2,11 +2,14 @@
 
 import random
 
+import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from duelspark.operators import models as ML
 from duelspark.operators import profiles as P
+from duelspark.operators.stats import exact_medians
 from duelspark.settings import Settings
 
 S = Settings.fixture()
@@ -50,7 +53,7 @@ def test_saved_pipeline_scores_equal(spark, separable, tmpdir_path):
                  {"boosted_trees": "p"}).orderBy("contest_id").collect()
     assert [r.p for r in a] == [r.p for r in b]
     assert sum((r.p >= 0.5) == (r.target == 1) for r in a) / len(a) > 0.85
-    imp = ML.importances(spark, f, ["elo_diff", "rank_diff"]).collect()
+    imp = ML.importances(spark, f).collect()
     assert imp[0].feature == "elo_diff"
 
 
@@ -63,24 +66,42 @@ def test_kmeans_elbow_finds_three_blobs(spark):
     sweep = P.kmeans_sweep(prof, S.with_(k_range=(2, 3, 4, 5, 6)), restarts=3)
     k = P.pick_elbow(P.inertia_table(spark, sweep)).first()["k"]
     assert k == 3
-    assigned = P.assign_clusters(prof, next(x for x in sweep if x.k == 3).model)
+    assigned = P.assign_clusters(prof, next(x for x in sweep if x.k == 3).centers)
     assert assigned.select("cluster").distinct().count() == 3
     assert P.centroids(assigned).count() == 3
 
 
-def test_first_trees_equals_prefix_fit(spark, separable):
-    """Cutting a boosted model to its first n trees predicts like a fit of n
-    rounds with the same seed (no subsampling)."""
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-    tr = VectorAssembler(inputCols=["rank_diff"], outputCol="f").transform(separable.where(F.col("split") == "train"))
-    g = lambda n: GBTClassifier(featuresCol="f", labelCol="target", maxIter=n, maxDepth=3, seed=1)
-    cut = ML.first_trees(g(6).fit(tr), 3)
-    ref = g(3).fit(tr)
-    assert cut.getNumTrees == 3
-    a = [r.probability[1] for r in cut.transform(tr).select("probability").collect()]
-    b = [r.probability[1] for r in ref.transform(tr).select("probability").collect()]
-    assert a == pytest.approx(b, abs=1e-12)
+def test_pipeline_medians_are_exact(spark, separable, tmpdir_path):
+    tr, va = (separable.where(F.col("split") == s) for s in ("train", "val"))
+    f = ML.fit_logistic(tr, va, ["elo_diff", "rank_diff"], S, ML.Grids(logistic_c=(1.0,)))
+    ML.save(f, f"{tmpdir_path}/lr")
+    gap = spark.createDataFrame([(None, float("nan"))], "elo_diff double, rank_diff double")
+    filled = ML.load(f"{tmpdir_path}/lr").transform(gap).first()
+    want = exact_medians(tr, ["elo_diff", "rank_diff"]).first()
+    assert (filled["elo_diff__imp"], filled["rank_diff__imp"]) == (want["elo_diff"], want["rank_diff"])
+
+
+def test_lloyd_inertia_by_sql(spark):
+    """All restarts advance together; the inertia is that of the returned centres, which are a fixed point."""
+    rnd = random.Random(4)
+    cols = ["ace_rate", "df_rate", "1st_serve_pct", "1st_serve_win_pct", "2nd_serve_win_pct", "bp_saved_pct"]
+    rows = [(i, f"p{i}", *[rnd.gauss(3 * (i % 4), 1) for _ in cols]) for i in range(300)]
+    prof = spark.createDataFrame(rows, ["player_id", "player_name", *cols]).repartition(5)
+    one = P.kmeans_sweep(prof, S.with_(k_range=(2, 4)), restarts=1)
+    sweep = P.kmeans_sweep(prof, S.with_(k_range=(2, 4)), restarts=6)
+    assert all(a.cost >= b.cost for a, b in zip(one, sweep))
+    z = P.standardize(prof, cols, "_z").toPandas()
+    c = pd.DataFrame([(x.k, j, *row) for x in sweep for j, row in enumerate(x.centers)],
+                     columns=["k", "j", *[f"c{i}" for i in range(6)]])
+    dist = " + ".join(f'pow("{f}_z" - c{i}, 2)' for i, f in enumerate(cols))
+    near = f"SELECT k, player_id, min({dist}) AS d, arg_min(j, {dist}) AS j FROM z, c GROUP BY k, player_id"
+    got = duckdb.sql(f"SELECT k, sum(d) FROM ({near}) GROUP BY k ORDER BY k").fetchall()
+    assert [x[1] for x in got] == pytest.approx([x.cost for x in sweep])
+    means = duckdb.sql(f"""SELECT max(abs(m - x)) FROM (SELECT k, j, avg("{cols[0]}_z") AS m FROM ({near}) n JOIN z USING (player_id)
+                           GROUP BY k, j) JOIN (SELECT k, j, c0 AS x FROM c) USING (k, j)""").fetchall()[0][0]
+    assert means < 0.02
+    labels = {r["player_id"]: r["cluster"] for r in P.assign_clusters(prof, sweep[1].centers).collect()}
+    assert labels == dict(duckdb.sql(f"SELECT player_id, j FROM ({near}) WHERE k = 4").fetchall())
 
 
 def test_registered_queries_fit_the_full_grids(monkeypatch):
