@@ -61,7 +61,10 @@ def op4_url_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op4_url_list"] = r"""
 WITH p AS (
-  SELECT page_id, nullif(lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1)), '') AS host FROM pages),
+  SELECT page_id, nullif(rtrim(CASE WHEN starts_with(place, '[') THEN string_split(place, ']')[1] || ']'
+                               ELSE string_split(place, ':')[1] END, '.'), '') AS host
+  FROM (SELECT page_id, CASE WHEN regexp_matches(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN lower(string_split(
+               regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'), '@')[-1]) END AS place FROM pages)),
 captures AS (
   SELECT page_id, host, ts AS fetched_at
   FROM p LEFT JOIN events ON event_id = page_id * 7919 % (SELECT count(*) FROM events)),

@@ -21,12 +21,13 @@ from pyspark.sql.window import Window
 
 from .common import materialize
 
-HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)"
+HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#]*\]|[^/:?#@\[]+)"
 
 
 def host(url: Column) -> Column:
-    """Lower-case host of an absolute URL; null without one."""
-    return F.nullif(F.lower(F.regexp_extract(url, HOST, 1)), F.lit(""))
+    """Lower-case host of an absolute URL, without user names, port and final dots (an IPv6 host keeps its
+    brackets); null without one."""
+    return F.nullif(F.regexp_replace(F.lower(F.regexp_extract(url, HOST, 1)), r"\.+$", ""), F.lit(""))
 
 
 def suffixes(name: Column) -> Column:
