@@ -22,6 +22,10 @@ Here no group grows with a player's row count:
 The finest group left is one player's contests on one day (the in-block
 row number): bounded by how many contests a player can play in a day, not by
 the size of the data.
+
+Only the branches that the wanted features need are built. The block tables
+come from a narrow projection of the appearances, not from the rows of an
+earlier branch, so that no branch runs twice.
 """
 
 from __future__ import annotations
@@ -76,34 +80,31 @@ def ranking_days(rankings: DataFrame) -> DataFrame:
             .groupBy("player_id", "day").agg(F.min("rank").alias("rank")))
 
 
-def _with_positions(df: DataFrame, keys: list[str], pos: str, *, block_aggs=None,
+def _with_positions(df: DataFrame, rows: DataFrame, keys: list[str], pos: str | None, *, block_aggs=None,
                     block_windows=None, in_block_prefix=None, side_rows: DataFrame | None = None) -> DataFrame:
-    """0-based position of each row in its key's time order, two-level.
+    """0-based position (column ``pos``, if named) of each row in its key's time order, two-level.
 
+    ``rows``: the appearances that ``df`` holds with more columns; the block table is made from them.
     ``in_block_prefix``: name -> aggregate, summed over the earlier rows of the
     same (keys, day) block. ``block_aggs``: name -> aggregate per block.
     ``block_windows``: name -> f(window over the block table ordered by day).
     ``side_rows``: extra block-table rows (e.g. rankings) unioned before the
     block windows and dropped after them."""
-    block_aggs = block_aggs or {}
-    ib = Window.partitionBy(*keys, "day").orderBy("match_num", "contest_id")
-    cols = {"_li": F.row_number().over(ib) - 1}
-    for k, e in (in_block_prefix or {}).items():
-        cols[k] = F.coalesce(e.over(ib.rowsBetween(UNB, -1)), F.lit(0.0))
-    df = df.withColumns(cols)
-    # same keys as the in-block window: the aggregate reuses its partitioning
-    blocks = df.groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("_bn"),
-                                          *[e.alias(k) for k, e in block_aggs.items()])
+    in_block = Window.partitionBy(*keys, "day").orderBy("match_num", "contest_id")
+    own = {k: F.coalesce(e.over(in_block.rowsBetween(UNB, -1)), F.lit(0.0)) for k, e in (in_block_prefix or {}).items()}
+    if pos:
+        own["_li"] = F.row_number().over(in_block) - 1
+    blocks = rows.groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("_bn"),
+                                            *[e.alias(k) for k, e in (block_aggs or {}).items()])
     if side_rows is not None:
         blocks = blocks.unionByName(side_rows, allowMissingColumns=True)
     bw = Window.partitionBy(*keys).orderBy("day")
-    wcols = {"_b0": F.coalesce(F.sum("_bn").over(bw.rangeBetween(UNB, -1)), F.lit(0))}
-    wcols.update({k: f(bw) for k, f in (block_windows or {}).items()})
-    blocks = blocks.withColumns(wcols).where(F.col("_bn").isNotNull())
-    keep = [*keys, "day", *wcols.keys()]
-    return (df.join(blocks.select(*keep), [*keys, "day"])
-            .withColumn(pos, (F.col("_b0") + F.col("_li")).cast("long"))
-            .drop("_b0", "_li"))
+    per_block = {k: f(bw) for k, f in (block_windows or {}).items()}
+    if pos:
+        per_block["_b0"] = F.coalesce(F.sum("_bn").over(bw.rangeBetween(UNB, -1)), F.lit(0))
+    blocks = blocks.withColumns(per_block).where(F.col("_bn").isNotNull())
+    out = df.withColumns(own).join(blocks.select(*keys, "day", *per_block), [*keys, "day"])
+    return out.withColumn(pos, (F.col("_b0") + F.col("_li")).cast("long")).drop("_b0", "_li") if pos else out
 
 
 def _halo_frames(df: DataFrame, keys: list[str], pos: str, chunk_rows: int,
@@ -129,27 +130,37 @@ def _frames(s: Settings, fields) -> dict[str, tuple[Column, int]]:
     return fr
 
 
-def history_features(contests: DataFrame, rankings: DataFrame | None, s: Settings, fields=SERVE_FIELDS) -> DataFrame:
-    """Per (contest, side): player_id, surface (pooled), global_form,
-    surface_form, fatigue, avg_<ratio>..., peak_rank. Input: contests (any
-    source, all levels)."""
-    app = appearances(with_pool(contests, s), s, fields)
-    rk = ranking_days(rankings) if rankings is not None else None
-    chunk = s.history_chunk_rows
-    # surface sequence: per (player, surface)
-    app = _with_positions(app, ["player_id", "surface"], "_spos")
-    app = _halo_frames(app, ["player_id", "surface"], "_spos", chunk,
-                       {"surface_form": (F.avg("won"), s.surface_form_window)})
-    # global sequence, with the day-level fatigue frame and the as-of best rank
-    block_windows = {
-        "_fat0": lambda w: F.coalesce(F.sum("_bw").over(w.rangeBetween(-s.fatigue_days, -1)), F.lit(0.0)),
-        "peak_rank": (lambda w: F.min("rank").over(w.rangeBetween(UNB, 0))) if rk is not None
-        else (lambda w: F.lit(None).cast("int")),
-    }
-    app = _with_positions(app, ["player_id"], "_gpos", block_aggs={"_bw": F.sum("wt")},
-                          block_windows=block_windows, in_block_prefix={"_fat1": F.sum("wt")},
-                          side_rows=rk)
-    app = app.withColumn("fatigue", F.col("_fat0") + F.col("_fat1")).drop("_fat0", "_fat1")
-    app = _halo_frames(app, ["player_id"], "_gpos", chunk, _frames(s, fields))
-    return app.select("contest_id", "side", "player_id", "surface", "global_form", "surface_form", "fatigue",
-                      *[f"avg_{f}" for f in fields], "peak_rank")
+def feature_names(fields=SERVE_FIELDS) -> list[str]:
+    return ["global_form", "surface_form", "fatigue", *[f"avg_{f}" for f in fields], "peak_rank"]
+
+
+def history_features(contests: DataFrame, rankings: DataFrame | None, s: Settings, fields=SERVE_FIELDS,
+                     wanted: list[str] | None = None) -> DataFrame:
+    """Per (contest, side): player_id, surface (pooled) and the ``wanted`` features, by default all of
+    global_form, surface_form, fatigue, avg_<ratio>..., peak_rank. Input: contests (any source, all levels)."""
+    names = feature_names(fields)
+    wanted = names if wanted is None else [c for c in names if c in wanted]
+    rows = app = appearances(with_pool(contests, s), s, fields)
+    if "surface_form" in wanted:  # sequence per (player, surface)
+        app = _with_positions(app, rows, ["player_id", "surface"], "_spos")
+        app = _halo_frames(app, ["player_id", "surface"], "_spos", s.history_chunk_rows,
+                           {"surface_form": (F.avg("won"), s.surface_form_window)})
+    frames = {k: v for k, v in _frames(s, fields).items() if k in wanted}
+    sums, windows, prefix, ranks = {}, {}, {}, None
+    if "fatigue" in wanted:  # day-level frame, plus the earlier contests of the day
+        sums["_bw"] = F.sum("wt")
+        windows["_fat0"] = lambda w: F.coalesce(F.sum("_bw").over(w.rangeBetween(-s.fatigue_days, -1)), F.lit(0.0))
+        prefix["_fat1"] = F.sum("wt")
+    if "peak_rank" in wanted and rankings is not None:  # as-of best rank
+        ranks = ranking_days(rankings)
+        windows["peak_rank"] = lambda w: F.min("rank").over(w.rangeBetween(UNB, 0))
+    if frames or windows:  # sequence per player
+        app = _with_positions(app, rows, ["player_id"], "_gpos" if frames else None, block_aggs=sums,
+                              block_windows=windows, in_block_prefix=prefix, side_rows=ranks)
+    if "fatigue" in wanted:
+        app = app.withColumn("fatigue", F.col("_fat0") + F.col("_fat1"))
+    if "peak_rank" in wanted and rankings is None:
+        app = app.withColumn("peak_rank", F.lit(None).cast("int"))
+    if frames:
+        app = _halo_frames(app, ["player_id"], "_gpos", s.history_chunk_rows, frames)
+    return app.select("contest_id", "side", "player_id", "surface", *wanted)

@@ -21,9 +21,9 @@ DESCRIBED = ("column string, count long, unique long, top string, freq long, mea
 
 def select_known(df: DataFrame, cols: list[str] | None) -> DataFrame:
     """PRJ7: keep the named columns that exist; none valid -> all columns."""
-    known = dict.fromkeys(df.columns)
-    wanted = (name.strip() for name in cols or ())
-    return df.select(*(list(filter(known.__contains__, wanted)) or df.columns))
+    named = [name.strip() for name in cols or []]
+    found = [name for name in named if name in df.columns]
+    return df.select(*(found or df.columns))
 
 
 def sort_by_time(df: DataFrame) -> DataFrame:

@@ -12,11 +12,11 @@ from .registry import for_check, register
 _T = "ORDER BY tourney_date, match_num, contest_id"
 
 
-def _features(spark, sf_dir, with_rankings=True):
-    """History features over the cleaned table written once (the plan choice
-    and the windows both read it, instead of rebuilding the contests)."""
-    rk = FixtureTables(spark, sf_dir).rankings() if with_rankings else None
-    return history.history_features(prepared(spark, sf_dir, True), rk, S)
+def _features(spark, sf_dir, *wanted):
+    """The wanted history features over the cleaned table written once (rows and block tables both
+    read it, instead of rebuilding the contests)."""
+    rk = FixtureTables(spark, sf_dir).rankings() if "peak_rank" in wanted else None
+    return history.history_features(prepared(spark, sf_dir, True), rk, S, wanted=list(wanted))
 
 
 @register("appearances", O.app_prefix() + "SELECT contest_id, side, player_id, surface, won, wt, day FROM app")
@@ -32,7 +32,7 @@ SELECT contest_id, side, player_id,
 FROM app""")
 def q_form_global(spark, sf_dir):
     """WIN1: mean of the last 20 results, current contest excluded."""
-    return for_check(_features(spark, sf_dir, False).select("contest_id", "side", "player_id", "global_form"))
+    return for_check(_features(spark, sf_dir, "global_form").drop("surface"))
 
 
 @register("form_surface", O.app_prefix() + f"""
@@ -42,8 +42,7 @@ SELECT contest_id, side, player_id, surface,
 FROM app""")
 def q_form_surface(spark, sf_dir):
     """WIN2: the same over the last 10 contests on this surface (after NUL3)."""
-    f = _features(spark, sf_dir, False)
-    return for_check(f.select("contest_id", "side", "player_id", "surface", "surface_form"))
+    return for_check(_features(spark, sf_dir, "surface_form"))
 
 
 # Oracle: band self-join, the literal definition (earlier contests dated on or
@@ -58,7 +57,7 @@ FROM app a LEFT JOIN app b
 GROUP BY a.contest_id, a.side, a.player_id""")
 def q_fatigue(spark, sf_dir):
     """WIN3 + SCA6: weighted count of earlier contests in the last 14 days."""
-    return for_check(_features(spark, sf_dir, False).select("contest_id", "side", "player_id", "fatigue"))
+    return for_check(_features(spark, sf_dir, "fatigue").drop("surface"))
 
 
 @register("serve_form", O.app_prefix() + "SELECT contest_id, side, player_id, " + ", ".join(
@@ -66,8 +65,7 @@ def q_fatigue(spark, sf_dir):
     for f in SERVE_FIELDS) + " FROM app")
 def q_serve_form(spark, sf_dir):
     """WIN4: per ratio, mean of the non-null values among the last 20 contests."""
-    return for_check(_features(spark, sf_dir, False).select("contest_id", "side", "player_id",
-                                                           *[f"avg_{f}" for f in SERVE_FIELDS]))
+    return for_check(_features(spark, sf_dir, *[f"avg_{f}" for f in SERVE_FIELDS]).drop("surface"))
 
 
 _HIST_COLS = ("global_form", "surface_form", "fatigue", *[f"avg_{f}" for f in SERVE_FIELDS], "peak_rank")
@@ -126,7 +124,7 @@ FROM app a LEFT JOIN rankings r ON r.player_id = a.player_id AND r.ranking_date
 GROUP BY a.contest_id, a.side, a.player_id""")
 def q_peak_rank_history(spark, sf_dir):
     """JOIN3 fused into the history block table (no extra shuffle)."""
-    return _features(spark, sf_dir, True).select("contest_id", "side", "player_id", "peak_rank")
+    return _features(spark, sf_dir, "peak_rank").drop("surface")
 
 
 ELO_SQL = """,

@@ -26,12 +26,12 @@ SERVE_FIELDS = (
 )
 # ratio -> (numerator, denominator), as differences of the serve counts
 SERVE_RATIOS = {
-    "1st_serve_pct": ("1stIn", "svpt"),
-    "1st_serve_win_pct": ("1stWon", "1stIn"),
-    "2nd_serve_win_pct": ("2ndWon", "svpt - 1stIn"),
-    "bp_saved_pct": ("bpSaved", "bpFaced"),
-    "ace_rate": ("ace", "svpt"),
-    "df_rate": ("df", "svpt"),
+    "1st_serve_pct": ("1stIn", "svpt", None),
+    "1st_serve_win_pct": ("1stWon", "1stIn", None),
+    "2nd_serve_win_pct": ("2ndWon", "svpt", "1stIn"),
+    "bp_saved_pct": ("bpSaved", "bpFaced", None),
+    "ace_rate": ("ace", "svpt", None),
+    "df_rate": ("df", "svpt", None),
 }
 ROUND_ORDINAL = {"R128": 1, "R64": 2, "R32": 3, "R16": 4, "QF": 5, "SF": 6, "F": 7, "RR": 4, "BR": 5}
 HAND_CODE = {("R", "R"): 0, ("R", "L"): 1, ("L", "R"): 2, ("L", "L"): 3}

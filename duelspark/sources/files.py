@@ -77,10 +77,12 @@ def header_line(spark: SparkSession, path: str) -> str:
 
 def typed(text: F.Column, kind: str) -> F.Column:
     """A text field as its declared type, NULL if it is malformed. Integers may be written with a
-    decimal part of zeros (``7.0``, as exports of columns with gaps do); NaN is missing."""
+    decimal part of zeros (``7.0``, as exports of columns with gaps do), any other decimal part is
+    malformed, however small; NaN is missing."""
     if kind in (_INT, _LONG):
-        exact = text.try_cast("decimal(38,6)")
-        return F.coalesce(text.try_cast(kind), F.when(exact == F.floor(exact), exact.try_cast(kind)))
+        exact = text.try_cast("decimal(38,18)")
+        whole = (exact == F.floor(exact)) & (text.rlike("[eE]") | ~text.rlike(r"\.\d*[1-9]"))
+        return F.coalesce(text.try_cast(kind), F.when(whole, exact.try_cast(kind)))
     return nan_to_null(text.try_cast(kind)) if kind == "double" else text.try_cast(kind)
 
 

@@ -153,7 +153,7 @@ def test_exact_quantiles_match_numpy(spark, partitions):
 
 def test_scalar_guards(spark):
     df = spark.createDataFrame([(1, 0), (1, -2), (1, None), (3, 4)], "n int, d int")
-    assert [r.q for r in df.select(X.safe_div("n", "d").alias("q")).collect()] == [None, None, None, 0.75]
+    assert [r.q for r in df.select(X.share_of("n", "d").alias("q")).collect()] == [None, None, None, 0.75]
     h = spark.createDataFrame([(None, "L"), ("u", "r"), ("A", "L"), ("L", "L")], "a string, b string")
     assert [r.c for r in h.select(X.hand_code("a", "b").alias("c")).collect()] == [1, 0, 0, 3]
     r = spark.createDataFrame([("QF",), ("Q1",), (None,)], "r string")
