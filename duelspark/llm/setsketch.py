@@ -224,20 +224,21 @@ def stars(apart: DataFrame, centre, most: int) -> DataFrame:
         .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def remaining_links(members: DataFrame, percent: int) -> DataFrame:
+def remaining_links(apart: DataFrame, details: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between unlike components that share a bucket: one for each pair of components that a
-    comparison finds linked. ``members``: (bucket, class, component, n, sketch, members).
+    comparison finds linked. ``apart``: (bucket, class, component); ``details``: (class, n, sketch, members),
+    which join the dealt rows last, so that sketches and sets are shuffled once more only.
 
     A bucket is dealt out in blocks of BLOCK members at most, and a pair of blocks is compared at a time:
     register agreement makes a pair credible, the full sets confirm it."""
     least = floor_of(percent / 100)
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    dealt = members.join(sizes, "bucket").withColumn("mine", F.pmod(F.xxhash64("class"), "blocks").cast("int")) \
+    sizes = apart.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = apart.join(sizes, "bucket").withColumn("mine", F.pmod(F.xxhash64("class"), "blocks").cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
         .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
-                "class", "component", "n", "sketch", "members")
+                "class", "component")
     group = ["bucket", "i", "j"]
-    ordered = dealt.repartition(*group).sortWithinPartitions(*group, "class")
+    ordered = dealt.join(details, "class").repartition(*group).sortWithinPartitions(*group, "class")
 
     def compare(t: pa.Table) -> pa.RecordBatch:
         cls, comp, n, mine = (t[c].to_numpy() for c in ("class", "component", "n", "mine"))
@@ -321,8 +322,8 @@ def near_duplicates(docs: DataFrame, width: int = 2, percent: int = 80, doc_id:
         links = materialize(found if links is None else links.union(found), "links")
         labels = component_labels(links)
     apart = split_buckets(members, labels)
-    rest = apart.join(classes.select("class", "n", "sketch"), "class").join(sets, "class")
-    more = materialize(remaining_links(rest, percent), "links")
+    details = classes.select("class", "n", "sketch").join(sets, "class")
+    more = materialize(remaining_links(apart, details, percent), "links")
     if not more.isEmpty():
         labels = component_labels(links.union(more))
 

@@ -88,9 +88,10 @@ def test_setsketch_rest_round_joins_components(spark, monkeypatch):
     sets = [np.unique(np.concatenate([base[2 * i:2 * i + 60], [np.uint64(9)]])) for i in range(20)]
     sketches = setsketch.registers(sets)
     shared = [(int(b), i) for i, row in enumerate(setsketch.buckets(sketches).view(np.int64)) for b in row]
-    rows = [(b, i, 100 + i % 10, len(sets[i]), sketches[i].tobytes(), sets[i].tobytes()) for b, i in shared]
-    members = spark.createDataFrame(rows, "bucket long, class long, component long, n long, sketch binary, members binary")
-    got = [tuple(r) for r in setsketch.remaining_links(members, 80).collect()]
+    apart = spark.createDataFrame([(b, i, 100 + i % 10) for b, i in shared], "bucket long, class long, component long")
+    details = spark.createDataFrame([(i, len(s), sketches[i].tobytes(), s.tobytes()) for i, s in enumerate(sets)],
+                                    "class long, n long, sketch binary, members binary")
+    got = [tuple(r) for r in setsketch.remaining_links(apart, details, 80).collect()]
     assert got and all(setsketch.linked(sets[a], sets[b], 80) and a % 10 != b % 10 for a, b in got)
 
     def parts(pairs):
