@@ -80,11 +80,12 @@ def ranking_days(rankings: DataFrame) -> DataFrame:
             .groupBy("player_id", "day").agg(F.min("rank").alias("rank")))
 
 
-def _with_positions(df: DataFrame, rows: DataFrame, keys: list[str], pos: str | None, *, block_aggs=None,
-                    block_windows=None, in_block_prefix=None, side_rows: DataFrame | None = None) -> DataFrame:
+def _with_positions(df: DataFrame, keys: list[str], pos: str | None, *, rows: DataFrame | None = None,
+                    block_aggs=None, block_windows=None, in_block_prefix=None,
+                    side_rows: DataFrame | None = None) -> DataFrame:
     """0-based position (column ``pos``, if named) of each row in its key's time order, two-level.
 
-    ``rows``: the appearances that ``df`` holds with more columns; the block table is made from them.
+    ``rows``: the appearances, where ``df`` is these with more columns; the block table is made from them.
     ``in_block_prefix``: name -> aggregate, summed over the earlier rows of the
     same (keys, day) block. ``block_aggs``: name -> aggregate per block.
     ``block_windows``: name -> f(window over the block table ordered by day).
@@ -94,7 +95,7 @@ def _with_positions(df: DataFrame, rows: DataFrame, keys: list[str], pos: str |
     own = {k: F.coalesce(e.over(in_block.rowsBetween(UNB, -1)), F.lit(0.0)) for k, e in (in_block_prefix or {}).items()}
     if pos:
         own["_li"] = F.row_number().over(in_block) - 1
-    blocks = rows.groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("_bn"),
+    blocks = (df if rows is None else rows).groupBy(*keys, "day").agg(F.count(F.lit(1)).alias("_bn"),
                                             *[e.alias(k) for k, e in (block_aggs or {}).items()])
     if side_rows is not None:
         blocks = blocks.unionByName(side_rows, allowMissingColumns=True)
@@ -142,7 +143,7 @@ def history_features(contests: DataFrame, rankings: DataFrame | None, s: Setting
     wanted = names if wanted is None else [c for c in names if c in wanted]
     rows = app = appearances(with_pool(contests, s), s, fields)
     if "surface_form" in wanted:  # sequence per (player, surface)
-        app = _with_positions(app, rows, ["player_id", "surface"], "_spos")
+        app = _with_positions(app, ["player_id", "surface"], "_spos", rows=rows)
         app = _halo_frames(app, ["player_id", "surface"], "_spos", s.history_chunk_rows,
                            {"surface_form": (F.avg("won"), s.surface_form_window)})
     frames = {k: v for k, v in _frames(s, fields).items() if k in wanted}
@@ -155,7 +156,7 @@ def history_features(contests: DataFrame, rankings: DataFrame | None, s: Setting
         ranks = ranking_days(rankings)
         windows["peak_rank"] = lambda w: F.min("rank").over(w.rangeBetween(UNB, 0))
     if frames or windows:  # sequence per player
-        app = _with_positions(app, rows, ["player_id"], "_gpos" if frames else None, block_aggs=sums,
+        app = _with_positions(app, ["player_id"], "_gpos" if frames else None, rows=rows, block_aggs=sums,
                               block_windows=windows, in_block_prefix=prefix, side_rows=ranks)
     if "fatigue" in wanted:
         app = app.withColumn("fatigue", F.col("_fat0") + F.col("_fat1"))
