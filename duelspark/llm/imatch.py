@@ -1,19 +1,25 @@
 """Document fingerprints by I-Match, in DataFrame functions only.
 
 The terms of a text are its words (lower case); the lexicon is the terms whose inverse document
-frequency lies in a band: found in at least ``min_docs`` documents and in at most ``max_share`` of
-them (idf from ln(1 / max_share) to ln(N / min_docs)). A randomised lexicon subset keeps the lexicon
-terms whose hash falls in it; its fingerprint cell is a hash of the text's sorted distinct terms in
-that subset. Subsets come in levels: level L keeps 2^-L of the lexicon and is divided into ``cells``
-subsets. A text with m distinct terms uses levels L and L + 1, L = floor(log2(m / 24)), at least 0, so
-that a cell sees one or two of its terms whatever the text's length; two texts are compared on
-their common level.
-
-Likeness of two fingerprints: equal cells among the cells that are not empty in both; 0 without a
-common level. Equal texts have equal fingerprints.
-
-A text none of whose terms at its level is in the lexicon uses all of them. Edge cases: null text is
-empty text and has empty cells (two such fingerprints are alike: 1.0); the next document of a
+frequency lies in a band: found in at least ``min_docs`` documents and in at least ``min_share`` and
+at most ``max_share`` of them (idf from ln(1 / max_share) to ln(1 / min_share)). A randomised lexicon
+subset keeps the lexicon terms whose hash falls in it; its fingerprint cell is a hash of all sorted
+distinct terms of the text in that subset. Subsets come in ``LEVELS`` levels of ``cells`` each: those of
+level 0 divide the whole lexicon, so every in-band term of a text is in its fingerprint; those of level
+L divide the 4^-L of it whose hash ends in 2L zero bits, so that some level's cells see one or two terms
+whatever the text's length and survive edits elsewhere. The fingerprint lists the cells that are not
+empty: two digits for level and cell, four for the hash.
+
+Likeness of two fingerprints: equal cells among the cells that are not empty in both; 1 if both are
+empty. Equal texts have equal fingerprints.
+
+Size of the lexicon: each of its terms is in at least ``min_share`` of the documents, so it has at most
+(mean distinct terms of a document) / ``min_share`` terms, whatever the number of documents. Up to
+``held_terms`` it is one value of hash buckets that every task holds, and no term is shuffled after
+the counting; beyond that the terms are joined with it by shuffle, with the same result.
+
+A text none of whose terms is in the lexicon uses all of them. Edge cases: null text is
+empty text and has an empty fingerprint (two such are alike: 1.0); the next document of a
 row is the next lower id, a null id after all others, the highest after the last; rows that
 repeat an id follow each other in the order of their texts' hashes; an empty table gives an empty
 result; extra columns are ignored.
@@ -22,24 +28,32 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import materialize, parts
 
 SPACE = r"[\x20\x09-\x0D]+"
-EMPTY = "----"
-TERMS_PER_LEVEL = 24
+LEVELS = 8
+PER_BUCKET = 4
 
 
 @dataclass(frozen=True)
 class Params:
     min_docs: int = 2
+    min_share: float = 1 / 5000
     max_share: float = 0.5
     cells: int = 32
+    held_terms: int = 2_000_000
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def terms(text: Column) -> Column:
@@ -48,56 +62,94 @@ def terms(text: Column) -> Column:
     return F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
 
 
-def level(distinct: Column) -> Column:
-    return F.greatest(F.lit(0), F.floor(F.log2(F.greatest(F.size(distinct), F.lit(1)) / TERMS_PER_LEVEL))).cast("int")
-
-
-def at_level(hashes: Column, lev: Column) -> Column:
-    """The hashes that level ``lev`` keeps: those divisible by 2^lev."""
-    step = F.pow(F.lit(2), lev).cast("long")
-    return F.filter(hashes, lambda h: F.pmod(h, step) == 0)
-
-
 def lexicon(docs: DataFrame, rows: int, p: Params) -> DataFrame:
     """(term): hashes of the terms in the band, over all documents."""
+    least = max(p.min_docs, p.min_share * rows)
     return docs.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term") \
-        .agg(F.count("*").alias("df")).where((F.col("df") >= p.min_docs) & (F.col("df") <= p.max_share * rows)) \
+        .agg(F.count("*").alias("df")).where((F.col("df") >= least) & (F.col("df") <= p.max_share * rows)) \
         .select("term")
 
 
-def cells(hashes: Column, p: Params) -> Column:
-    """One four-digit hash per subset of a level, from the sorted terms that fall in it, end to end."""
-    none = 42  # xxhash64 of an empty array is its seed
-    subsets = F.transform(F.sequence(F.lit(0), F.lit(p.cells - 1)), lambda k: F.xxhash64(
-        F.filter(hashes, lambda h: F.pmod(F.shiftright(h, 40), F.lit(p.cells)) == k)))
-    return F.array_join(F.transform(subsets, lambda h: F.when(h == none, EMPTY).otherwise(
-        F.lower(F.lpad(F.hex(F.pmod(h, F.lit(1 << 16))), 4, "0")))), "")
+def cells(hashes: Column, lev: Column, p: Params) -> Column:
+    """One entry per subset of level ``lev`` that holds any of the sorted ``hashes``: the subset of a
+    term is the range of hashes it lies in, so the terms of one subset follow each other."""
+    def cell(h: Column) -> Column:
+        return F.pmod(F.floor(h / F.lit(2.0 ** 64 / p.cells)), F.lit(p.cells)).cast("int")
+
+    def entry(state: Column) -> Column:
+        place = F.lower(F.lpad(F.hex(lev * p.cells + state["cell"]), 2, "0"))
+        return F.array(F.concat(place, F.lower(F.lpad(F.hex(F.pmod(state["hash"], F.lit(1 << 16))), 4, "0"))))
+
+    def step(state: Column, h: Column) -> Column:
+        inside = state["cell"] == cell(h)
+        ended = ~inside & (state["cell"] >= 0)
+        return F.struct(cell(h).alias("cell"),
+                        F.when(inside, F.xxhash64(state["hash"], h)).otherwise(F.xxhash64(h)).alias("hash"),
+                        F.when(ended, F.concat(state["done"], entry(state))).otherwise(state["done"]).alias("done"))
+
+    start = F.struct(F.lit(-1).alias("cell"), F.lit(0).cast("long").alias("hash"),
+                     F.array().cast("array<string>").alias("done"))
+    return F.aggregate(hashes, start, step, lambda s: F.when(s["cell"] < 0, s["done"])
+                       .otherwise(F.concat(s["done"], entry(s))))
+
+
+def render(own: Column, p: Params) -> Column:
+    """The fingerprint of a text with these term hashes."""
+    def level(hashes: Column) -> Callable[[Column], Column]:
+        return lambda at: cells(F.filter(hashes, lambda h: h.bitwiseAND(at["mask"]) == 0), at["level"], p)
+
+    finer = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(4 ** i - 1).cast("long").alias("mask"))
+                      for i in range(1, LEVELS)])
+
+    def levels(hashes: Column) -> Column:
+        rest = let(F.filter(hashes, lambda h: h.bitwiseAND(F.lit(3).cast("long")) == 0),
+                   lambda few: F.flatten(F.transform(finer, level(few))))
+        return F.concat(cells(hashes, F.lit(0), p), rest)
+
+    return F.array_join(let(F.sort_array(own), levels), "-")
+
+
+def with_fingerprint(rows: DataFrame, band: DataFrame, p: Params, text: str, name: str) -> DataFrame:
+    """``rows`` plus the fingerprint of their ``text``; ``band``: the stored lexicon."""
+    def chosen(inside: Column, every: Column) -> Column:
+        return F.when(F.size(inside) > 0, inside).otherwise(every)
+
+    n = band.count()
+    if n <= p.held_terms:
+        buckets = parts(n, PER_BUCKET)
+        slots = rows.sparkSession.range(buckets).join(band.withColumn("id", F.pmod("term", F.lit(buckets))), "id", "left") \
+            .groupBy("id").agg(F.collect_list("term").alias("terms"))
+        held = slots.agg(F.array_sort(F.collect_list(F.struct("id", "terms")))["terms"]).scalar()
+
+        def marked(every: Column) -> Column:
+            inside = F.filter(every, lambda h: F.array_contains(
+                F.get(F.col("_held"), F.pmod(h, F.lit(buckets)).cast("int")), h))
+            return let(inside, lambda own: render(chosen(own, every), p))
+
+        return rows.withColumn("_held", held).withColumn(name, let(terms(F.col(text)), marked)).drop("_held")
+    stored = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "imatch")
+    every = stored.select("_row", F.explode(terms(F.col(text))).alias("term"))
+    found = every.join(band.withColumn("_in", F.lit(True)), "term", "left").groupBy("_row").agg(
+        F.collect_list("term").alias("every"), F.collect_list(F.when(F.col("_in"), F.col("term"))).alias("inside"))
+    prints = found.select("_row", render(chosen(F.col("inside"), F.col("every")), p).alias(name))
+    return stored.join(prints, "_row", "left").withColumn(name, F.coalesce(name, F.lit(""))).drop("_row")
 
 
-def render(lev: Column, own: Column, p: Params) -> Column:
-    """The fingerprint: its level, the cells of that level and those of the next. ``own``: sorted."""
-    both = F.transform(F.array(own, at_level(own, lev + 1)), lambda hashes: cells(hashes, p))
-    return F.concat_ws(":", F.lpad(lev.cast("string"), 2, "0"), both)
+def likeness(a: Column, b: Column) -> Column:
+    """Share of equal cells (0 to 1) of two fingerprints."""
+    def entries(x: Column) -> Column:
+        return F.filter(F.split(x, "-"), lambda e: e != "")
 
+    def places(x: Column) -> Column:
+        return F.transform(entries(x), lambda e: F.left(e, F.lit(2)))
 
-def likeness(a: Column, b: Column, p: Params = Params()) -> Column:
-    """Share of equal cells (0 to 1) of two fingerprints on their common level."""
-    la, lb = F.split(a, ":"), F.split(b, ":")
-    gap = F.get(la, F.lit(0)).cast("int") - F.get(lb, F.lit(0)).cast("int")
-    x = F.get(la, F.when(gap < 0, 2).otherwise(1))
-    y = F.get(lb, F.when(gap > 0, 2).otherwise(1))
-    places = F.transform(F.sequence(F.lit(0), F.lit(p.cells - 1)),
-                         lambda i: F.struct(F.substring(x, i * 4 + 1, F.lit(4)).alias("x"),
-                                            F.substring(y, i * 4 + 1, F.lit(4)).alias("y")))
-    used = F.size(F.filter(places, lambda c: (c["x"] != EMPTY) | (c["y"] != EMPTY)))
-    same = F.size(F.filter(places, lambda c: (c["x"] == c["y"]) & (c["x"] != EMPTY)))
-    share = F.when(used == 0, F.when(a == b, 1.0).otherwise(0.0)).otherwise(F.try_divide(same, used))
-    return F.when(F.abs(gap) > 1, 0.0).otherwise(share)
+    used = F.size(F.array_union(places(a), places(b)))
+    return F.when(used == 0, 1.0).otherwise(F.size(F.array_intersect(entries(a), entries(b))) / used)
 
 
-def with_next(docs: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, text, next_text): the text of the document with the next lower id, or of the highest
-    after the last. Ids are cut into about sqrt(rows) ranges; every range also gets the first
+def with_next(docs: DataFrame, rows: int, band: DataFrame, p: Params) -> DataFrame:
+    """(doc_id, text, fingerprint, next_text, next_fingerprint): those of the document with the next
+    lower id, or of the highest after the last. Ids are cut into about sqrt(rows) ranges; every range also gets the first
     document of the range below, so one window over ranges finds every successor."""
     lo, hi = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     lo, hi = (0, 0) if lo is None else (lo, hi)
@@ -112,9 +164,11 @@ def with_next(docs: DataFrame, rows: int) -> DataFrame:
     tails = keyed.select("_k", "doc_id", "text").join(halo, "_k") \
         .select("doc_id", "text", "_k", F.col("_to").alias("_range"), F.lit(True).alias("_halo"))
     both = keyed.select("doc_id", "text", "_k", "_range", F.lit(False).alias("_halo")).unionByName(tails)
+    both = with_fingerprint(both, band, p, "text", "fingerprint")
     order = Window.partitionBy("_range").orderBy("_halo", F.desc("_k"), F.xxhash64("text"))
-    return both.withColumn("next_text", F.lead("text").over(order)).where(~F.col("_halo")) \
-        .select("doc_id", "text", "next_text")
+    return both.withColumn("next_text", F.lead("text").over(order)) \
+        .withColumn("next_fingerprint", F.lead("fingerprint").over(order)).where(~F.col("_halo")) \
+        .select("doc_id", "text", "fingerprint", "next_text", "next_fingerprint")
 
 
 def fingerprint_edits(docs: DataFrame, p: Params = Params(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -122,33 +176,13 @@ def fingerprint_edits(docs: DataFrame, p: Params = Params(), doc_id: str = "doc_
     near_next; the edited text has its last third replaced by the start of the next document."""
     base = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = base.count()
+    band = materialize(lexicon(base, rows, p), "lexicon")
     n, cut = F.char_length("text"), F.floor(F.char_length("text") / 3).cast("int")
     edited = F.concat(F.left(F.col("text"), n - cut), F.left(F.col("next_text"), cut))
-    paired = with_next(base, rows).withColumn("edited", edited).select(
+    paired = with_next(base, rows, band, p).withColumn("edited", edited).select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.struct(F.xxhash64("text"), F.xxhash64("text", F.lit(1))).alias("of"),
-        F.struct(F.xxhash64("next_text"), F.xxhash64("next_text", F.lit(1))).alias("next"),
-        terms(F.col("text")).alias("t"), terms(F.col("edited")).alias("e"))
-    paired = paired.withColumn("level", level(F.col("t"))).withColumn("edited_level", level(F.col("e"))) \
-        .withColumn("t", at_level(F.col("t"), F.col("level"))).withColumn("e", at_level(F.col("e"), F.col("edited_level")))
-    stored = materialize(paired.withColumn("_row", F.monotonically_increasing_id()), "imatch")
-    kept = materialize(lexicon(base, rows, p), "lexicon")
-    found = stored.select("_row", F.explode(F.array_union("t", "e")).alias("term")).join(kept, "term") \
-        .groupBy("_row").agg(F.sort_array(F.collect_list("term")).alias("band"))
-    none = F.array().cast("array<bigint>")
-
-    def banded(own: str) -> Column:
-        inside = F.array_intersect(F.coalesce("band", none), F.col(own))
-        return F.when(F.arrays_overlap(F.coalesce("band", none), F.col(own)), inside).otherwise(F.sort_array(own))
-
-    marked = stored.join(found, "_row", "left").select(
-        "doc_id", "n_chars", "edited_sha256", "of", "next", render(F.col("level"), banded("t"), p).alias("fingerprint"),
-        render(F.col("edited_level"), banded("e"), p).alias("edited_fingerprint"))
-    marked = materialize(marked, "fingerprints")
-    # stored, so that the join below has plain exchanges on both sides and splits a crowd of equal texts
-    texts = materialize(marked.groupBy(F.col("of").alias("next")).agg(F.min("fingerprint").alias("next_fingerprint")),
-                        "text-fingerprints")
-    return marked.join(texts, "next", "left").select(
+        "fingerprint", "next_fingerprint", "edited")
+    return with_fingerprint(paired, band, p, "edited", "edited_fingerprint").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint"), p).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint"), p).alias("near_next"))
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
