@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from duelspark.session import materialize, table_path
 
-__all__ = ["read", "materialize", "parts", "spread", "raw_bytes", "pieces", "chunked_by_rows", "schema_with", "unused"]
+__all__ = ["read", "materialize", "parts", "spread", "raw_bytes", "pieces", "chunked_by_rows", "schema_with", "unused", "numbered"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -29,6 +29,13 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(df: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns called c0, c1, ..., so that columns an operator adds under other names
+    clash with none, and the new names of the ``wanted`` columns."""
+    places = {c.lower(): f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), [places[c.lower()] for c in wanted]
+
+
 def parts(rows: int, per_part: int) -> int:
     """Number of parts of about ``per_part`` rows: grows with the input, never below one."""
     return max(1, math.ceil(rows / per_part))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunked_by_rows, materialize, parts, pieces, raw_bytes, schema_with
+from .common import chunked_by_rows, materialize, numbered, parts, pieces, raw_bytes, schema_with
 
 SPACE = b" \t\n\x0b\x0c\r"
 GAMMA = 2.0
@@ -156,7 +156,9 @@ def line_index(counts: DataFrame, p: Params) -> tuple[DataFrame, int]:
 def drop_common_lines(docs: DataFrame, p: Params = Params(), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` with the kept text in ``text`` (a null text stays null), and n_lines, n_dropped
     (they replace columns of the same name)."""
-    docs = docs.drop("n_lines", "n_dropped", "_chunk")
+    docs = docs.drop("n_lines", "n_dropped")
+    named = docs.columns
+    docs, (text, doc_id) = numbered(docs, text, doc_id)
     index, shards = line_index(materialize(line_counts(docs, text, p), "line-counts"), p)
     chunked, _ = chunked_by_rows(docs, p.per_chunk, doc_id, text)
 
@@ -199,7 +201,8 @@ def drop_common_lines(docs: DataFrame, p: Params = Params(), text: str = "text",
         cols = {c: new if c == text else rows[c] for c in names}
         return pa.table(cols | {"n_lines": pa.array(lines, pa.int64()), "n_dropped": pa.array(lost, pa.int64())})
 
-    return chunked.groupBy("_chunk").cogroup(dropped.groupBy("_chunk")).applyInArrow(rewrite, out)
+    return chunked.groupBy("_chunk").cogroup(dropped.groupBy("_chunk")).applyInArrow(rewrite, out) \
+        .toDF(*named, "n_lines", "n_dropped")
 
 
 def sha256_of(docs: DataFrame, text: str, name: str) -> DataFrame:

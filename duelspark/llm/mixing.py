@@ -11,7 +11,9 @@ one dual variable per source (scale: the source's words per document). The dual
 gradient is the source's words under the current rates minus its target. Newton steps on it run
 as distributed aggregations over the counts per (source, size), which hold all that the rates
 depend on; a step that leaves the bracket known to hold the root is replaced by its middle.
-Iterations go on until every source is within ``tolerance`` of its target.
+The first bracket holds every root: at its ends even a document of one word has the rate exp(-60) or
+``most``. Iterations go on until every source is within ``tolerance`` of its target; a source that is
+not after ``rounds`` of them is an error.
 
 Rounding to copies: every document is taken floor(rate) times, and once more if it is among those
 with the least u / fraction (u: a uniform number from the hash of its id), up to the source's
@@ -21,8 +23,8 @@ range, so no window ever holds a source. Reruns give the same copies.
 
 Edge cases: null text has size 0, and documents of size 0 are taken once; a source without words
 has target 0; null is a source like any other; repeated rows (same id) share u and are cut one by
-one in the last range; an empty table gives an empty result; extra columns are kept, and columns
-with the names of added ones are replaced.
+one in the last range; an empty table gives an empty result; extra columns are kept whatever their
+names; ``mix`` replaces columns with the names of those it adds, ``take`` returns the columns it got.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, materialize
+from .common import WORD, materialize, numbered
 
 RANGES = 1024
 ROUNDS = 3
@@ -45,7 +47,7 @@ class Params:
     weights: tuple[float, ...] = (1.0, 2.0, 3.0)
     most: int = 3
     tolerance: float = 1e-6
-    rounds: int = 60
+    rounds: int = 200
     seed: int = 7
 
 
@@ -81,8 +83,8 @@ def rate(dual: Column, size: Column, scale: Column, most: int) -> Column:
 def solve(cells: DataFrame, goals: DataFrame, p: Params) -> DataFrame:
     """``goals`` plus the dual of every source. ``cells``: counts per (source, size)."""
     full = F.col("target") >= p.most * F.col("source_size") * (1 - 1e-12)
-    state = materialize(goals.select("*", F.when(~full, F.lit(0.0)).alias("dual"), F.lit(-60.0).alias("lo"),
-                                     F.lit(60.0).alias("hi"), full.alias("done")), "dual")
+    state = materialize(goals.select("*", F.when(~full, F.lit(0.0)).alias("dual"),
+                                     (-60 * F.col("scale")).alias("lo"), (60 * F.col("scale")).alias("hi"), full.alias("done")), "dual")
     for _ in range(p.rounds):
         words = F.col("c.n") * F.col("c.size")
         x = F.col("c.size") / F.col("s.scale")
@@ -104,8 +106,8 @@ def solve(cells: DataFrame, goals: DataFrame, p: Params) -> DataFrame:
             F.when(todo, step).otherwise(F.col("dual")).alias("dual"), F.when(todo, lo).otherwise(F.col("lo")).alias("lo"),
             F.when(todo, hi).otherwise(F.col("hi")).alias("hi"), (~todo | near).alias("done")), "dual")
         if state.where("not done").isEmpty():
-            break
-    return state.select("source", "source_size", "scale", "target", "dual")
+            return state.select("source", "source_size", "scale", "target", "dual")
+    raise RuntimeError(f"sources off their targets after {p.rounds} rounds: {state.where('not done').count()}")
 
 
 def same(left: str, right: str = "source") -> Column:
@@ -143,7 +145,8 @@ def cut(fractions: DataFrame, missing: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, p: Params = Params(), text: str = "text", source: str = "source",
         doc_id: str = "doc_id") -> DataFrame:
     """``docs`` plus size, source_size, target, rate, copies and taken (= size * copies)."""
-    kept = docs.drop(*ADDED)
+    names = docs.drop(*ADDED).columns
+    kept, (text, source, doc_id) = numbered(docs.drop(*ADDED), text, source, doc_id)
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     unit = (F.pmod(F.xxhash64(F.col(doc_id), F.lit(p.seed)), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
     key = F.xxhash64(F.col(doc_id), F.lit(p.seed + 1))
@@ -177,13 +180,14 @@ def mix(docs: DataFrame, p: Params = Params(), text: str = "text", source: str =
     more = (F.col("_fraction") > 0) & (F.col("size") > 0) & (
         (v < F.col("_v")) | (v == F.col("_v")) & ((key < F.col("_key")) | (key == F.col("_key")) & F.col("with")))
     return out.withColumn("copies", (F.col("_whole") + F.when(more, 1).otherwise(0)).cast("int")) \
-        .select(*kept.columns, "size", "source_size", "target", "rate", "copies",
+        .select(*[F.col(c).alias(name) for c, name in zip(kept.columns, names)], "size", "source_size", "target", "rate", "copies",
                 (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def take(docs: DataFrame, p: Params = Params(), text: str = "text", source: str = "source",
          doc_id: str = "doc_id") -> DataFrame:
     """The mix itself: every document as often as its copies say, with the columns of ``docs``."""
-    mixed = mix(docs, p, text, source, doc_id).where("copies > 0")
-    repeat = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")
-    return mixed.select(*docs.columns, repeat).drop("_copy")
+    plain, places = numbered(docs, text, source, doc_id)
+    mixed = mix(plain, p, *places).where("copies > 0")
+    repeat = F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
+    return mixed.select(*plain.columns, repeat).drop("copy").toDF(*docs.columns)

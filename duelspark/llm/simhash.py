@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pieces, raw_bytes, schema_with
+from .common import materialize, numbered, pieces, raw_bytes, schema_with
 
 PREFIX_BITS = 16  # the cut first looks at this many leading bits: at most 65,536 counts
 STEP_BITS = 4     # and at this many more of the prefixes that are still too full, until none is
@@ -308,10 +308,11 @@ def first_of_each(docs: DataFrame, width: int = 3, errors: int = 3, doc_id: str
     the text's hash; of equal rows, one). The fingerprinted rows are stored once, so the texts are
     read a single time by Python."""
     columns = docs.columns
+    docs, (doc_id, text) = numbered(docs, doc_id, text)
     stored = materialize(with_fingerprint(docs, width, text, keep_text=True)
                          .withColumn("_row", F.monotonically_increasing_id()), "simhash")
     narrow = stored.select("_fp", "_row", F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("_hash"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_hash", "_row")
     chosen = narrow.join(groups(narrow, errors, "doc_id"), "_fp").groupBy("_group").agg(F.min(order).alias("pick")) \
         .select(F.col("pick._row").alias("_row"))
-    return stored.join(chosen, "_row", "left_semi").select(*columns)
+    return stored.join(chosen, "_row", "left_semi").select(*docs.columns).toDF(*columns)

@@ -10,6 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from duelspark.llm import linededup, mixing, packing, simhash, toxicity
@@ -273,3 +274,41 @@ def test_packing_edges(odd, none, spark):
     seq = packing.sequences(packing.pack(odd, packing.Params(keep_ids=True))).toPandas()
     assert seq["ids"].map(len).sum() == got["length"].sum()
     assert packing.pack(none).count() == 0
+
+
+INNER = ["_row", "_fp", "_group", "_chunk", "_source", "_dual", "_key", "_end", "_scale", "_whole", "_fraction", "_v", "with",
+         "size", "copies", "_copy", "key", "u", "n", "c1", "hi", "label", "component_id", "n_lines", "gone.away"]
+
+
+def test_columns_named_like_inner_ones(odd):
+    """Columns that share a name with one an operator uses inside come back as they were."""
+    d = odd.toDF(*odd.columns[:-1], "Score")
+    for name in INNER:
+        d = d.withColumn(name, F.concat(F.lit(f"{name} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+
+    def untouched(out, names):
+        rows = [r.asDict() for r in out.collect()]
+        assert rows and all(r[c] == f"{c} {'none' if r['doc_id'] is None else r['doc_id']}" for r in rows for c in names)
+        return sorted(str((r["doc_id"], r["text"])) for r in rows)
+
+    for fn, added in ((simhash.first_of_each, []), (mixing.take, []), (linededup.drop_common_lines, ["n_lines", "n_dropped"]),
+                      (mixing.mix, list(mixing.ADDED))):
+        out = fn(d)
+        assert set(out.columns) == {*d.columns, *added}
+        assert untouched(out, [c for c in INNER if c not in added]) == sorted(
+            str((r["doc_id"], r["text"])) for r in fn(odd).select("doc_id", "text").collect())
+
+
+def test_dual_far_out(spark):
+    """One huge document among very many of one word, with a small target: the dual lies far below -60."""
+    rows = [(i, "w", "a") for i in range(300)] + [(300, "w " * 200000, "a"), (301, "w " * 500, "b")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    cells = d.select("source", F.regexp_count("text", F.lit("w")).cast("long").alias("size")).groupBy("source", "size") \
+        .agg(F.count("*").alias("n"))
+    goals = spark.createDataFrame([("a", 200300, 200300 / 301, 20.0), ("b", 500, 500.0, 400.0)],
+                                  "source string, source_size long, scale double, target double")
+    duals = {r["source"]: r["dual"] for r in mixing.solve(cells, goals, mixing.Params()).collect()}
+    words = 300 * np.exp(duals["a"] / (200300 / 301)) + 200000 * np.exp(duals["a"] * 200000 / (200300 / 301))
+    assert duals["a"] < -60 and abs(words - 20) < 1e-4 and abs(500 * np.exp(duals["b"]) - 400) < 1e-2
+    with pytest.raises(RuntimeError):
+        mixing.solve(cells, goals, mixing.Params(rounds=1))
