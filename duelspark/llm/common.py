@@ -41,9 +41,9 @@ def parts(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))
 
 
-def spread(n: int, *cols: str | Column) -> Column:
+def spread(n: int | Column, *cols: str | Column) -> Column:
     """A part number from 0 to ``n`` - 1 that depends only on the row's values."""
-    return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
+    return F.pmod(F.xxhash64(*cols), n if isinstance(n, Column) else F.lit(n)).cast("int")
 
 
 def raw_bytes(column: pa.Array) -> list[bytes]:

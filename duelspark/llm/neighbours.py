@@ -4,12 +4,15 @@
    graph of the sample; a balanced partition of that graph (balanced k-means as a start, then
    rounds in which every vector moves to the part that holds most of its neighbours and still
    has room); a softmax classifier from a vector to the distribution of its neighbours' parts.
+   There is one part for every ``part_rows`` rows, at least ``parts`` and at most ``most_parts``; the
+   sample has ``sample`` rows, or 64 for every part if that is more.
 2. Index every row: its part is the classifier's most probable one. A part of any size is dealt
-   over blocks of about ``block`` rows.
+   over blocks of about ``block`` rows, the queries that visit it over blocks of about
+   ``query_block``; a group is one block of each, so its size has a bound on both sides.
 3. Route: a query visits its most probable parts. How many is measured, not guessed: the fewest
    for which the sample's own queries find ``recall`` of their true neighbours.
-4. Rerank: every (part, block) scores its visiting queries exactly and returns their best ``k``; the
-   best ``k`` of all blocks are the answer, ties to the smaller id.
+4. Rerank: every group scores its queries against its rows exactly and returns the best ``k`` of each
+   query; the best ``k`` of all groups are the answer, ties to the smaller id.
 
 Scores are inner products in double precision of the original vectors, each the sum of one
 row's products in a fixed order, so equal vectors have equal scores. Edge cases: vectors that are
@@ -20,7 +23,7 @@ candidates give all of them; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import materialize, parts, spread
 
 RESULT = "query_id long, vec_id long, score double"
 
@@ -38,10 +41,13 @@ class Params:
     k: int = 20
     sample: int = 4000
     parts: int = 16
+    most_parts: int = 128
+    part_rows: int = 65536
     neighbours: int = 10
     rounds: int = 8
     recall: float = 0.95
-    block: int = 2048
+    block: int = 8192
+    query_block: int = 8192
     seed: int = 3
 
 
@@ -164,6 +170,12 @@ def usable(rows: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return good.where(F.size("v") == (most[0]["n"] if most else 0))
 
 
+def sized(p: Params, n: int) -> Params:
+    """``p`` for a table of ``n`` rows: more parts, and the sample that they need."""
+    count = max(p.parts, min(p.most_parts, parts(n, p.part_rows)))
+    return replace(p, parts=count, sample=max(p.sample, 64 * count))
+
+
 def search(rows: DataFrame, queries: Column, p: Params = Params(), vec_id: str = "vec_id",
            embedding: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for every row on which ``queries`` (a
@@ -171,6 +183,7 @@ def search(rows: DataFrame, queries: Column, p: Params = Params(), vec_id: str =
     spark = rows.sparkSession
     data = usable(rows, vec_id, embedding)
     n = data.count()
+    p = sized(p, n)
     share = F.pmod(F.xxhash64("vec_id", F.lit(p.seed)), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, p.sample / max(1, n))))
     sample = data.where(share if n > p.sample else F.lit(True)).toPandas()  # bounded by ``sample``
     if not n or not len(sample):
@@ -197,11 +210,20 @@ def search(rows: DataFrame, queries: Column, p: Params = Params(), vec_id: str =
 
     schema = "vec_id long, v array<double>, part int"
     index = materialize(data.mapInArrow(place, schema), "index")
-    sizes = {r["part"]: r["n"] for r in index.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one per part
-    blocks = F.create_map(*[F.lit(x) for part, m in sizes.items() for x in (part, -(-m // p.block))])
-    index = index.withColumn("block", F.pmod(F.xxhash64("vec_id"), blocks[F.col("part")]).cast("int"))
-    asked = data.where(queries).mapInArrow(route, schema) \
-        .withColumn("block", F.explode(F.sequence(F.lit(0), blocks[F.col("part")] - 1)))
+    asked = data.where(queries).mapInArrow(route, schema)
+
+    def blocks(table: DataFrame, rows_: int) -> Column:
+        """Number of blocks of a row's part (0: the part has no rows here)."""
+        sizes = table.groupBy("part").agg(F.count("*").alias("n")).collect()  # one row per part
+        of = [F.lit(x) for r in sizes for x in (r["part"], parts(r["n"], rows_))]
+        return F.coalesce(F.element_at(F.create_map(*of), F.col("part")), F.lit(0)) if of else F.lit(0)
+
+    def every(count: Column) -> Column:
+        return F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1)))
+
+    x_blocks, q_blocks = blocks(index, p.block), blocks(asked, p.query_block)
+    index = index.withColumn("block", spread(x_blocks, "vec_id")).withColumn("visit", every(q_blocks))
+    asked = asked.withColumn("visit", spread(q_blocks, "vec_id")).withColumn("block", every(x_blocks))
 
     def rerank(q: pa.Table, x: pa.Table) -> pa.Table:
         got = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
@@ -209,7 +231,7 @@ def search(rows: DataFrame, queries: Column, p: Params = Params(), vec_id: str =
             got = score_block(q["vec_id"].to_numpy(), vectors(q, "v"), x["vec_id"].to_numpy(), vectors(x, "v"), p.k)
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, got))))
 
-    found = asked.groupBy("part", "block").cogroup(index.groupBy("part", "block")).applyInArrow(rerank, RESULT)
+    found = asked.groupBy("part", "block", "visit").cogroup(index.groupBy("part", "block", "visit")).applyInArrow(rerank, RESULT)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= p.k).select("query_id", "rank", "vec_id", "score")
 

@@ -160,6 +160,14 @@ def test_exact_search_with_ties_and_odd_rows(spark):
     ids, x = np.array([i for i, _ in good]), np.array([v for _, v in good])
     want = {q: v for q, v, _ in plain_search(ids, x, ids[ids % 20 == 0], 20)}
     assert {q: g["vec_id"].tolist() for q, g in got.groupby("query_id")} == want
+    small = neighbours.Params(block=50, query_block=3)  # groups bounded on the query side too
+    again = neighbours.exact_search(df, F.col("vec_id") % 20 == 0, small).toPandas().sort_values(["query_id", "rank"])
+    assert again.values.tolist() == got.values.tolist()
     few = neighbours.search(df.where("vec_id < 5"), F.col("vec_id") >= 0, p).toPandas()
     assert few.groupby("query_id").size().max() == few["query_id"].nunique() - 1
     assert neighbours.search(df.where("false"), F.col("vec_id") >= 0).count() == 0
+
+
+def test_parts_grow_with_the_table():
+    sized = [neighbours.sized(neighbours.Params(), n) for n in (0, 1 << 20, 1 << 21, 1 << 40)]
+    assert [(p.parts, p.sample) for p in sized] == [(16, 4000), (16, 4000), (32, 4000), (128, 8192)]
