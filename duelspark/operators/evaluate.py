@@ -94,6 +94,21 @@ def slice_table(pred: DataFrame, by: str, prob: str, y: str = "target", eps: flo
     return metrics_by(x, ["slice"], y, prob, eps)
 
 
+def slice_tables(pred: DataFrame, by: list[str], prob: str, y: str = "target", eps: float = 1e-6) -> DataFrame:
+    """AGG10 for several columns with one ranking of the scores: the rows of ``slice_table`` for every column
+    of ``by``, named in ``by_col``. The overall slice is ranked once and repeated in the result."""
+    def part(place: int, label: Column) -> Column:
+        return F.struct(F.lit(place).alias("_place"), label.alias("slice"))
+
+    parts = [part(i, F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for i, c in enumerate(by)]
+    x = (pred.select(F.inline(F.array(part(-1, F.lit("overall")), *parts)), y, prob)
+         .where(F.col("slice").isNotNull()))
+    found = metrics_by(x, ["_place", "slice"], y, prob, eps)
+    names = F.array(*[F.lit(c) for c in by])
+    own = F.when(F.col("_place") < 0, names).otherwise(F.slice(names, F.greatest("_place", F.lit(0)) + 1, 1))
+    return found.select(F.explode(own).alias("by_col"), "slice", "n", "accuracy", "log_loss", "auc_roc")
+
+
 def model_metrics(pred: DataFrame, prob_cols: dict[str, str], keys: list[str], y: str = "target",
                   eps: float = 1e-6) -> DataFrame:
     """ML12: metrics of every model in one pass over an unpivoted table."""

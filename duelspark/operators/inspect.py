@@ -15,6 +15,7 @@ from ..session import materialize
 from .stats import quantile_table
 
 QUARTILES = (0.25, 0.5, 0.75)
+SIMPLE = (StringType, BooleanType, DateType, TimestampType, TimestampNTZType)
 DESCRIBED = ("column string, count long, unique long, top string, freq long, mean double, std double, min double, "
              "`25%` double, `50%` double, `75%` double, max double")
 
@@ -47,6 +48,40 @@ def shape(df: DataFrame) -> DataFrame:
         "rows", F.lit(len(df.columns)).alias("columns"), F.lit(",".join(df.columns)).alias("column_names"))
 
 
+def describe_estimated(df: DataFrame, accuracy: int = 10_000, distinct_error: float = 0.05) -> DataFrame:
+    """AGG19 for wide tables, at the caller's choice: the columns of ``describe`` from one aggregate of mergeable
+    sketches over one scan. Quartiles are values of the column whose rank is off by at most rows /
+    ``accuracy``; ``unique`` has a relative standard deviation of ``distinct_error``; top and freq come from
+    a sketch of 10,000 counters (exact up to 7,500 distinct texts). Everything else is exact. NaN is
+    no quartile; without any number quartiles are NULL, without any text unique is 0 and top NULL."""
+    num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
+    txt = [f.name for f in df.schema.fields if isinstance(f.dataType, SIMPLE)]
+    if not num and not txt:
+        return df.sparkSession.createDataFrame([], DESCRIBED)
+    plain = df.select(*[F.col(f"`{c}`").cast("double").alias(f"n{i}") for i, c in enumerate(num)],
+                      *[F.col(f"`{c}`").cast("string").alias(f"t{i}") for i, c in enumerate(txt)])
+    sums, rows = [], []
+
+    def add(key: str, name: str, parts: dict) -> None:
+        sums.extend(e.alias(f"{key}_{k}") for k, e in parts.items())
+        rows.append(F.struct(F.lit(name).alias("column"), *[
+            (F.col(f"{key}_{k}") if k in parts else F.lit(None)).cast(t).alias(k) for k, t in
+            (("count", "long"), ("unique", "long"), ("top", "array<struct<item:string,count:bigint>>"), ("mean", "double"),
+             ("std", "double"), ("min", "double"), ("q", "array<double>"), ("max", "double"))]))
+    for i, c in enumerate(num):
+        x = F.col(f"n{i}")
+        add(f"n{i}", c, {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(x), "max": F.max(x),
+                         "q": F.percentile_approx(F.nanvl(x, F.lit(None)), list(QUARTILES), accuracy)})
+    for i, c in enumerate(txt):
+        x = F.col(f"t{i}")
+        add(f"t{i}", c, {"count": F.count(x), "unique": F.approx_count_distinct(x, distinct_error),
+                         "top": F.expr(f"approx_top_k(t{i}, 1, 10000) FILTER (WHERE t{i} IS NOT NULL)")})
+    return plain.agg(*sums).select(F.inline(F.array(*rows))).select(
+        "column", "count", "unique", F.get("top", F.lit(0))["item"].alias("top"),
+        F.get("top", F.lit(0))["count"].alias("freq"), "mean", "std", "min",
+        *[F.get("q", F.lit(i)).alias(f"{int(100 * x)}%") for i, x in enumerate(QUARTILES)], "max")
+
+
 def describe(df: DataFrame) -> DataFrame:
     """AGG19: one row per column: count, unique, top, freq (strings,
     booleans, dates and timestamps, as text), mean,
@@ -58,8 +93,7 @@ def describe(df: DataFrame) -> DataFrame:
 
 def _describe(df: DataFrame) -> DataFrame:
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    plain = (StringType, BooleanType, DateType, TimestampType, TimestampNTZType)
-    txt = [f.name for f in df.schema.fields if isinstance(f.dataType, plain)]
+    txt = [f.name for f in df.schema.fields if isinstance(f.dataType, SIMPLE)]
     none = F.lit(None).cast("double")
     if not num and not txt:
         return df.sparkSession.createDataFrame([], DESCRIBED)

@@ -59,9 +59,7 @@ base AS (
 @register("slice_metrics", _pre() + "," + _SLICE_BASE + _metric_sql("base", "by_col, slice"))
 def q_slice_metrics(spark, sf_dir):
     """AGG6-AGG10: metric rows per surface and per level, each with an overall row."""
-    p = _pred(spark, sf_dir)
-    t = [E.slice_table(p, by, PROB).withColumn("by_col", F.lit(by)) for by in ("surface", "tourney_level")]
-    return for_check(t[0].unionByName(t[1]))
+    return for_check(E.slice_tables(_pred(spark, sf_dir), ["surface", "tourney_level"], PROB))
 
 
 _SPLIT = ("CASE WHEN tourney_date <= 19991231 THEN 'train' WHEN tourney_date BETWEEN 20000101 AND 20001231 "

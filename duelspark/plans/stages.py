@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, evaluate as E, matrix as M, models as ML, profiles as P
 from ..operators.frames import attach_row
+from ..session import materialize
 from ..settings import Settings
 from ..sources import files
 
@@ -27,7 +28,9 @@ def ingest(spark: SparkSession, family_paths: dict[str, list[str]], out_dir: str
     """Stage 1: read, tag, reconcile, clean and write the contests; rankings and
     players pass through. Returns the row counts, total and per family
     (AGG1-2), read from the written table (a one-column scan), so the
-    cleaning plan runs once."""
+    cleaning plan runs once. (An ``Observation`` would save that scan, but a
+    session that has observed anything can no longer be serialized, and the
+    forest's scoring expression carries its session: stage 5 would fail.)"""
     raw = files.read_contests(spark, family_paths, common_only=common_only)
     if raw is None:
         return None
@@ -128,8 +131,8 @@ def evaluate(spark: SparkSession, out_dir: str, s: Settings, prob: str = "xgb_pr
     """Stage 6: metric tables (CSV) and the evaluation summary (JSON)."""
     pred = spark.read.parquet(_p(out_dir, "test_predictions"))
     rep = lambda n: _p(out_dir, f"reports/{n}")
-    by_surface = E.slice_table(pred, "surface", prob)
-    by_level = E.slice_table(pred, "tourney_level", prob)
+    slices = materialize(E.slice_tables(pred, ["surface", "tourney_level"], prob), "slices")
+    by_surface, by_level = (slices.where(F.col("by_col") == c).drop("by_col") for c in ("surface", "tourney_level"))
     files.write_small_csv(by_surface, rep("metrics_by_surface"))
     files.write_small_csv(by_level, rep("metrics_by_level"))
     files.write_small_csv(E.calibration(pred, prob), rep("calibration"))
