@@ -22,8 +22,8 @@ once for each distinct word of the corpus.
 What a document's words share (its language, its kind of junk) enters as a class that scales every
 word's probability by how much more often training documents of that class use the word; the
 scales are normalised over all words, and a text's probability is the mixture over the classes
-by their shares. Classes are k-means clusters of byte frequencies; their centres are fitted on
-a bounded sample (``class_sample`` rows expected), and all training documents are assigned.
+by their shares. Classes are k-means clusters of byte frequencies over all training documents; only
+where the k-means starts comes from a bounded sample (``class_sample`` rows expected).
 
 1. Count the words of the training documents by class: distinct words per task, then a sum by word.
 2. Count the distinct contexts; build the tables from the distinct words; learn the weights shard by shard; give every
@@ -61,6 +61,8 @@ GATES = (2 * SEEN, 8 * 4)
 P = 0x9E3779B97F4A7C15
 P_INVERSE = pow(P, -1, 1 << 64)
 U = np.uint64
+PROFILE_UNITS = 65535  # of a packed component
+CLASS_ROUNDS = 30  # most rounds of the k-means over all documents
 
 
 @dataclass(frozen=True)
@@ -74,7 +76,7 @@ class Params:
     weight: float = 0.75
     flush: int = 400_000
     classes: int = 6  # eight at most
-    class_sample: int = 3000
+    class_sample: int = 3000  # documents that the k-means starts from; it runs on all
     class_prior: float = 1.0
 
 
@@ -333,29 +335,64 @@ def profile(text: bytes) -> np.ndarray:
     return np.sqrt(n / max(1, len(text)))
 
 
-def class_centres(docs: DataFrame, p: Params) -> np.ndarray:
-    """k-means on the profiles of a bounded sample of training documents."""
-    rows = docs.where("NOT held_out AND text <> ''")
-    share = min(1.0, p.class_sample / max(1, rows.count()))
-    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+def refined(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums (in whole ``PROFILE_UNITS``) and nearest classes of the packed profiles ``x``."""
+    near = (x @ centres.T).argmax(axis=1)
+    return np.stack([x[near == k].sum(axis=0, dtype=np.int64) for k in range(len(centres))]), near
+
+
+def unit(sums: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """Class sums as centres of unit length; a class without documents keeps its centre."""
+    length = np.linalg.norm(sums.astype(np.float64), axis=1, keepdims=True)
+    return np.where(length > 0, sums / np.maximum(length, 1), old)
+
+
+def first_centres(x: np.ndarray, classes: int) -> np.ndarray:
+    """Where the k-means over all documents starts: farthest first, then k-means on the packed profiles ``x``."""
+    centres = unit(x[:1], np.zeros((1, 256)))
+    while len(centres) < min(classes, len(x)):
+        centres = np.vstack([centres, unit(x[(x @ centres.T).max(axis=1).argmin()][None], np.zeros((1, 256)))])
+    for _ in range(30):
+        centres = unit(refined(x, centres)[0], centres)
+    return centres
+
 
-    def profiles(batches):
+def class_centres(docs: DataFrame, p: Params) -> np.ndarray:
+    """k-means on the profiles of all training documents, one job a round, until no centre moves; it starts
+    from the centres of a bounded sample. Sums are whole numbers, so the order of the tasks does not matter."""
+    def pack(batches):
         for b in pieces(batches, 1000):
-            yield pa.record_batch([pa.array([profile(x).tobytes() for x in raw_bytes(b["text"])], pa.binary())],
-                                  names=["profile"])
+            packs = [np.round(profile(x) * PROFILE_UNITS).astype(np.uint16).tobytes() for x in raw_bytes(b["text"])]
+            yield pa.record_batch([pa.array(packs, pa.binary()), b["draw"]], names=["profile", "draw"])
 
-    got = sorted(r["profile"] for r in rows.where(unit < share).select("text")
-                 .mapInArrow(profiles, "profile binary").collect())
-    if not got:
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).cast("int").alias("draw")
+    stored = materialize(docs.where("NOT held_out AND text <> ''").select("text", draw)
+                         .mapInArrow(pack, "profile binary, draw int"), "class-profiles")
+
+    def matrix(packs) -> np.ndarray:
+        return np.frombuffer(b"".join(packs), np.uint16).reshape(-1, 256).astype(np.int64)
+
+    share = min(1.0, p.class_sample / max(1, stored.count()))
+    some = sorted(r["profile"] for r in stored.where(F.col("draw") < share * (1 << 30)).select("profile").collect()) \
+        or [r["profile"] for r in stored.orderBy("draw", "profile").limit(1).collect()]
+    if not some:
         return np.zeros((1, 256))
-    x = np.stack([np.frombuffer(g, np.float64) for g in got])
-    centres = x[:1]
-    while len(centres) < min(p.classes, len(x)):  # farthest first
-        centres = np.vstack([centres, x[(x @ centres.T).max(axis=1).argmin()]])
-    for _ in range(30):
-        near = (x @ centres.T).argmax(axis=1)
-        centres = np.stack([x[near == k].mean(axis=0) if (near == k).any() else c for k, c in enumerate(centres)])
-        centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    centres = first_centres(matrix(some), p.classes)
+    for _ in range(CLASS_ROUNDS):
+        def add(batches, centres=centres):
+            sums = np.zeros((len(centres), 256), np.int64)
+            for b in pieces(batches, 2000):
+                if b.num_rows:
+                    sums += refined(matrix(b["profile"].to_pylist()), centres)[0]
+            yield pa.record_batch([pa.array(range(len(sums)), pa.int32()), pa.array(sums.tolist())], names=["k", "sums"])
+
+        each = stored.select("profile").mapInArrow(add, "k int, sums array<long>").select("k", F.posexplode("sums").alias("at", "v"))
+        total = np.zeros((len(centres), 256))
+        for r in each.groupBy("k", "at").agg(F.sum("v").alias("v")).collect():  # classes times 256
+            total[r["k"], r["at"]] = r["v"]
+        before, centres = centres, unit(total, centres)
+        if np.abs(centres - before).max() < 1e-4:
+            break
     return centres
 
 
