@@ -40,11 +40,11 @@ an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,6 +89,8 @@ class Bits:
     deep: np.ndarray       # numbers of the decisions whose prefix is longer than the longest table context
     slots: list[np.ndarray]
     prefix: np.ndarray     # of those decisions: 64-bit key of (whole prefix, bits so far)
+    owner: np.ndarray      # of every byte that is coded: its word
+    node: np.ndarray       # and the group of eight decisions that holds its own
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -97,9 +99,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-def decisions(words: list[bytes], only_deep: bool = False, bits: tuple[int, ...] = LEAST_BITS) -> Bits:
+def decisions(words: list[bytes], only_deep: bool = False, bits: tuple[int, ...] = LEAST_BITS, shared: bool = False) -> Bits:
     """``only_deep``: just the decisions whose prefix is longer than the tables' contexts. ``bits``: of
-    the tables' sizes."""
+    the tables' sizes. ``shared``: words that begin alike share the decisions on what they have in common."""
     coded = [w + b" " if w else b"\n" for w in words]
     sizes = np.array([len(w) for w in coded], np.int64)
     buf = np.frombuffer(b"".join(coded), np.uint8)
@@ -111,6 +113,12 @@ def decisions(words: list[bytes], only_deep: bool = False, bits: tuple[int, ...]
     power, inverse = np.cumprod(power, dtype=U), np.cumprod(inverse, dtype=U)
     sums = np.concatenate([np.zeros(1, U), np.cumsum((buf.astype(U) + U(1)) * power[:n], dtype=U)])
     pick = np.flatnonzero(pos >= DEEP) if only_deep else np.arange(n)
+    owner, node = word[pick], np.arange(len(pick))
+    if shared:  # one byte for every distinct beginning of a word
+        begin = pick - pos[pick]
+        _, first, node = np.unique((sums[pick + 1] - sums[begin]) * inverse[begin] + pos[pick].astype(U) * U(0xD6E8FEB86659FD93),
+                                   return_index=True, return_inverse=True)
+        pick = pick[first]
     at, where = pos[pick], pick
 
     def context(length: np.ndarray) -> np.ndarray:
@@ -119,33 +127,48 @@ def decisions(words: list[bytes], only_deep: bool = False, bits: tuple[int, ...]
 
     byte = buf[pick].astype(np.int64)
     t = np.arange(8)
-    node = ((1 << t)[None, :] | (byte[:, None] >> (8 - t)[None, :])).astype(U)
+    path = ((1 << t)[None, :] | (byte[:, None] >> (8 - t)[None, :])).astype(U)
     bit = (byte[:, None] >> (7 - t)[None, :] & 1).astype(np.uint8).ravel()
 
     def keys(length: np.ndarray, salt: int) -> np.ndarray:
-        return ((mixed(context(length) + U(salt))[:, None] + node * U(0xC2B2AE3D27D4EB4F)) * U(P)).ravel()
+        return ((mixed(context(length) + U(salt))[:, None] + path * U(0xC2B2AE3D27D4EB4F)) * U(P)).ravel()
 
     slots = [] if only_deep else [(keys(np.minimum(at, k), k) >> U(64 - size)).astype(np.int32) for (k, _), size in zip(ORDERS, bits)]
     deep = np.flatnonzero(np.repeat(at >= DEEP, 8))
     own = at >= DEEP
-    where, node = where[own], node[own]
-    return Bits(np.repeat(word[pick], 8), bit, np.tile(t, len(pick)), deep, slots, keys(at[own], 99))
+    where, path = where[own], path[own]
+    return Bits(np.repeat(word[pick], 8), bit, np.tile(t, len(pick)), deep, slots, keys(at[own], 99), owner, node)
+
+
+def occurrences(b: Bits, c: np.ndarray) -> np.ndarray:
+    """How often every decision is made, when the words occur ``c`` times."""
+    return np.repeat(np.bincount(b.node, c[b.owner], len(b.bit) // 8), 8)
 
 
 class Counts:
-    """Zeros and ones of the hashed tables; ``ones[k]`` and ``seen[k]`` are arrays of the k-th table."""
+    """Zeros and ones of the hashed tables; ``ones[k]`` and ``seen[k]`` are columns of the k-th table, whose
+    two counts of a slot lie side by side."""
 
     def __init__(self, bits: tuple[int, ...] = LEAST_BITS):
         self.bits = bits
-        self.seen = [np.zeros(1 << size, np.float32) for size in bits]
-        self.ones = [np.zeros(1 << size, np.float32) for size in bits]
+        self.both = [np.zeros((1 << size, 2), np.float32) for size in bits]
+        self.seen, self.ones = ([x[:, i] for x in self.both] for i in (0, 1))
 
     def __getstate__(self):
-        return self.bits, [[squeezed(x) for x in t] for t in (self.seen, self.ones)]
+        return self.bits, [[squeezed(np.ascontiguousarray(x)) for x in t] for t in (self.seen, self.ones)]
 
     def __setstate__(self, state):
-        self.bits, tables = state
-        self.seen, self.ones = ([unsqueezed(x, 1 << n) for x, n in zip(t, self.bits)] for t in tables)
+        bits, tables = state
+        self.__init__(bits)
+        for own, packs in zip((self.seen, self.ones), tables):
+            for x, pack in zip(own, packs):
+                x[:] = unsqueezed(pack, len(x))
+
+
+def pairs_at(both: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two counts at each place, fetched together."""
+    got = both.view(np.int64).ravel().take(place).view(np.float32).reshape(-1, 2)
+    return got[:, 0], got[:, 1]
 
 
 def squeezed(x: np.ndarray) -> bytes:
@@ -192,18 +215,18 @@ class DeepCounts:
         self.shift, parts_ = U(64 - bits), []
         self.owner = np.zeros(1 << bits, U)
         for at in range(0, len(words), 1 << 13):
-            b = decisions(words[at:at + (1 << 13)], only_deep=True)
-            w = c[at:at + (1 << 13)][b.word]
+            b = decisions(words[at:at + (1 << 13)], only_deep=True, shared=True)
+            w = occurrences(b, c[at:at + (1 << 13)])
             use = w > 0
             parts_.append((b.prefix[use], w[use].astype(np.float32), b.bit[use]))
             self.owner[self.place(parts_[-1][0])] = parts_[-1][0]
-        self.seen, self.ones = np.zeros((2, 1 << bits), np.float32)
+        self.both = np.zeros((1 << bits, 2), np.float32)
         rest = []
         for key, w, bit in parts_:
             place = self.place(key)
             mine = self.owner[place] == key
-            np.add.at(self.seen, place[mine], w[mine])
-            np.add.at(self.ones, place[mine], w[mine] * bit[mine])
+            np.add.at(self.both[:, 0], place[mine], w[mine])
+            np.add.at(self.both[:, 1], place[mine], w[mine] * bit[mine])
             rest.append((key[~mine], w[~mine], w[~mine] * bit[~mine]))
         key, w, w1 = (np.concatenate(x) for x in zip(*rest)) if rest else (np.zeros(0, U), np.zeros(0), np.zeros(0))
         self.keys, inv = np.unique(key, return_inverse=True)
@@ -215,7 +238,7 @@ class DeepCounts:
     def get(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         place = self.place(key)
         mine = self.owner[place] == key
-        seen, ones = np.where(mine, self.seen[place], 0), np.where(mine, self.ones[place], 0)
+        seen, ones = (np.where(mine, x, 0) for x in pairs_at(self.both, place))
         other = np.flatnonzero(~mine)
         if len(self.keys) and len(other):
             at = np.minimum(np.searchsorted(self.keys, key[other]), len(self.keys) - 1)
@@ -237,7 +260,7 @@ def inputs(b: Bits, tables: Counts, deep: DeepCounts, without: float = 0.0):
 
     x = np.zeros((len(b.bit), INPUTS), np.float32)
     for k in range(len(ORDERS)):
-        x[:, k], longest = logit(tables.seen[k][b.slots[k]], tables.ones[k][b.slots[k]], own)
+        x[:, k], longest = logit(*pairs_at(tables.both[k], b.slots[k]), own)
     x[b.deep, -2], longest[b.deep] = logit(*deep.get(b.prefix), own[b.deep])
     x[:, -1] = 0.3
     g1 = np.minimum(np.log2(longest + 1).astype(np.int32), SEEN - 1)
@@ -246,24 +269,31 @@ def inputs(b: Bits, tables: Counts, deep: DeepCounts, without: float = 0.0):
     return np.clip(x, -12, 12), g1, g2
 
 
+def mixed_logit(m: Mixer, x: np.ndarray, g1: np.ndarray, g2: np.ndarray):
+    """Mixed logit and its bin of the map. The weights of both gates are added once for every pair of gates."""
+    both = (m.first.astype(np.float32)[:, None] + m.second.astype(np.float32)).reshape(-1, INPUTS)
+    z = np.clip(np.einsum("ij,ij->i", both.take(g1 * GATES[1] + g2, axis=0), x), -15, 15)
+    bins = np.clip(np.rint(z * 2).astype(np.int32) + BINS // 2, 0, BINS - 1)
+    return z.astype(np.float64), bins
+
+
 def predict(m: Mixer, x: np.ndarray, g1: np.ndarray, g2: np.ndarray):
     """Mixed logit, its bin of the map, and the refined probability of a one."""
-    first, second = m.first.astype(np.float32), m.second.astype(np.float32)
-    z = np.clip(np.einsum("ij,ij->i", first[g1] + second[g2], x), -15, 15)
-    bins = np.clip(np.rint(z * 2).astype(np.int32) + BINS // 2, 0, BINS - 1)
-    z = z.astype(np.float64)
-    p = (1 - MAP_SHARE) / (1 + np.exp(-z)) + MAP_SHARE * m.map[g1, bins]
+    z, bins = mixed_logit(m, x, g1, g2)
+    p = (1 - MAP_SHARE) / (1 + np.exp(-z)) + MAP_SHARE * m.map.ravel().take(g1 * BINS + bins)
     return z, bins, np.clip(p, 1e-6, 1 - 1e-6)
 
 
 def learn(m: Mixer, x, g1, g2, bit, weight, speed, p: Params) -> None:
     """One online step on a batch: weights by the gradient of the coding cost, the map towards the
     bits seen, both in proportion to the events' weights."""
-    z, bins, _ = predict(m, x, g1, g2)
+    z, bins = mixed_logit(m, x, g1, g2)
     share = weight / weight.sum()
     g = ((1 / (1 + np.exp(-z)) - bit) * share)[:, None] * x
-    for k, (table, gate, count) in enumerate(((m.first, g1, GATES[0]), (m.second, g2, GATES[1]))):
-        step = np.stack([np.bincount(gate, g[:, c], count) for c in range(INPUTS)], axis=1)
+    cells = ((g1 * GATES[1] + g2) * INPUTS)[:, None] + np.arange(INPUTS)
+    sums = np.bincount(cells.ravel(), g.ravel(), GATES[0] * GATES[1] * INPUTS).reshape(*GATES, INPUTS)
+    for k, table in enumerate((m.first, m.second)):
+        step = sums.sum(axis=1 - k)
         speed[k] += step * step
         table -= p.rate * step / np.sqrt(speed[k])
     cell = g1 * BINS + bins
@@ -281,17 +311,21 @@ def train_shard(words: list[bytes], c: np.ndarray, tables: Counts, p: Params) ->
     order = sorted((i for i in range(len(words)) if c[i] > 0), key=lambda i: xxhash.xxh64_intdigest(words[i], 7))
     used = [np.zeros(GATES[0]), np.zeros(GATES[1])]
     speed = [np.full((g, INPUTS), p.start_speed) for g in GATES]
-    for at in range(0, len(order), 1 << 10):
-        part = order[at:at + (1 << 10)]
-        b = decisions([words[i] for i in part], bits=tables.bits)
+    for block in range(0, len(order), 1 << 12):
+        part = order[block:block + (1 << 12)]
+        b = decisions([words[i] for i in part], bits=tables.bits, shared=True)
         x, g1, g2 = inputs(b, tables, deep, 1.0)
-        weight = (c[part].astype(float) ** p.weight)[b.word]
-        mixed_up = np.random.default_rng(at).permutation(len(b.bit))
-        for i in range(0, len(mixed_up), p.batch):
-            s = mixed_up[i:i + p.batch]
-            learn(m, x[s], g1[s], g2[s], b.bit[s], weight[s], speed, p)
-        used[0] += np.bincount(g1, minlength=GATES[0])
-        used[1] += np.bincount(g2, minlength=GATES[1])
+        weight = c[part].astype(float) ** p.weight
+        ends = np.searchsorted(b.owner, np.arange(0, len(part) + (1 << 10), 1 << 10))
+        for at, (begin, end) in zip(range(block, len(order), 1 << 10), zip(ends, ends[1:])):
+            mixed_up = np.random.default_rng(at).permutation((end - begin) * 8)
+            own, place = begin + (mixed_up >> 3), mixed_up & 7
+            event = b.node[own] * 8 + place
+            events = x.take(event, axis=0), g1[event], g2[event], b.bit[event], weight[b.owner[own]]
+            for i in range(0, len(event), p.batch):
+                learn(m, *(e[i:i + p.batch] for e in events), speed, p)
+            used[0] += np.bincount(events[1], minlength=GATES[0])
+            used[1] += np.bincount(events[2], minlength=GATES[1])
     mass = np.concatenate([np.repeat(used[0], INPUTS), np.repeat(used[1], INPUTS), np.repeat(used[0], BINS)])
     return m.flat(), mass
 
@@ -300,21 +334,54 @@ def log10_probabilities(words: list[bytes], tables: Counts, deep, m: Mixer) -> n
     out = np.zeros(len(words))
     for at in range(0, len(words), 1 << 12):
         part = words[at:at + (1 << 12)]
-        b = decisions(part, bits=tables.bits)
+        b = decisions(part, bits=tables.bits, shared=True)
         _, _, p = predict(m, *inputs(b, tables, deep))
-        out[at:at + len(part)] = np.bincount(b.word, np.log10(np.where(b.bit == 1, p, 1 - p)), len(part))
+        logs = np.log10(np.where(b.bit == 1, p, 1 - p)).reshape(-1, 8).sum(axis=1)
+        out[at:at + len(part)] = np.bincount(b.owner, logs[b.node], len(part))
     return out
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """The words and the end, which is empty bytes."""
-    words = text.lower().split()
-    words.append(b"")
-    return words
-
-
-def word_key(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+PORTION = 1 << 23  # bytes of text taken apart at a time
+SPACES = b" \t\n\x0b\x0c\r"
+LOWER = bytes(range(256)).lower()
+
+
+def token_arrays(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The tokens of all texts: where each text's begin, the number of each token, the distinct tokens by number."""
+    col = texts.cast(pa.large_binary()).fill_null(b"")
+    offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+    raw = bytes(memoryview(col.buffers()[2] or b"")[offsets[0]:offsets[-1]])
+    edges, x = offsets - offsets[0], np.frombuffer(raw, np.uint8)
+    inside = np.zeros(len(x) + 2, bool)
+    inside[1:-1] = (x != 32) & (x - np.uint8(9) > 4)
+    begins, ends = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
+    inner = edges[(edges > 0) & (edges < len(x))]  # a text's edge parts words
+    begins[inner], ends[inner - 1] = inside[inner + 1], inside[inner]
+    begin, end = np.flatnonzero(begins), np.flatnonzero(ends)
+    before = np.searchsorted(begin, edges)  # words before each text
+    place = np.concatenate([np.zeros(1, np.int64), np.cumsum(end - begin + 1)])  # of the words, once the white space is gone
+    first = before + np.arange(len(before))
+    start = np.empty(len(begin) + len(texts) + 1, np.int64)  # words and ends (empty) in order, then where the last one ends
+    start[np.arange(len(begin)) + np.repeat(np.arange(len(texts)), np.diff(before))] = place[:-1]
+    start[first[1:] - 1], start[-1] = place[before[1:]], place[-1]
+    coded = pa.Array.from_buffers(pa.large_binary(), len(start) - 1,
+                                  [None, pa.py_buffer(start), pa.py_buffer(raw.translate(LOWER, SPACES))]).dictionary_encode()
+    return first[:-1], coded.indices.to_numpy(), coded.dictionary
+
+
+def word_keys(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), U, len(words)).view(np.int64)
+
+
+def portions(batches, rows: int, size: int = PORTION):
+    """The same rows in batches of at most ``rows`` rows and about ``size`` bytes of text."""
+    for b in pieces(batches, rows):
+        held = np.cumsum(pc.fill_null(pc.binary_length(b["text"]), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(held, (held[at - 1] if at else 0) + size, "right")))
+            yield b.slice(at, end - at)
+            at = end
 
 
 def near_ids(docs: DataFrame, per_chunk: int) -> DataFrame:
@@ -403,22 +470,24 @@ def count_words(docs: DataFrame, centres, p: Params) -> DataFrame:
     names = [f"n{i}" for i in range(k)]
 
     def words(batches):
-        train, rest = [Counter() for _ in range(k)], set()
-        for b in pieces(batches, 1000):
-            for out, x in zip(b["held_out"].to_pylist(), raw_bytes(b["text"])):
-                if out:
-                    rest.update(tokens(x))
-                else:
-                    train[int((centres.value @ profile(x)).argmax())].update(tokens(x))
-            if sum(map(len, train)) + len(rest) > p.flush:
-                yield emit(train, rest)
-                train, rest = [Counter() for _ in range(k)], set()
-        yield emit(train, rest)
-
-    def emit(train, rest):
-        every = list(rest.union(*train))
-        return pa.record_batch([pa.array(every, pa.binary()),
-                                *(pa.array([get(w, 0) for w in every], pa.int64()) for get in (t.get for t in train))], names=["word", *names])
+        open_: list[pa.RecordBatch] = []
+        for b in portions(batches, 1 << 30):
+            if open_ and sum(x["text"].nbytes for x in open_) + b["text"].nbytes > PORTION:
+                yield from pieces([emit(open_)], 1 << 15)
+                open_ = []
+            open_.append(b)
+        if open_:
+            yield from pieces([emit(open_)], 1 << 15)
+
+    def emit(batches):
+        t = pa.Table.from_batches(batches).combine_chunks()
+        text = t["text"].combine_chunks()
+        first, token, distinct = token_arrays(text)
+        out = t["held_out"].to_pylist()
+        kind = np.array([k if o else int((centres.value @ profile(x)).argmax()) for o, x in zip(out, raw_bytes(text))], np.int64)
+        kind = np.repeat(kind, np.diff(first, append=len(token)))  # held-out texts only name their words
+        c = [np.bincount(token[kind == i], minlength=len(distinct)) for i in range(k)]
+        return pa.record_batch([distinct.cast(pa.binary()), *map(pa.array, c)], names=["word", *names])
 
     sums = [F.sum(c).alias(c) for c in names]
     return docs.select("held_out", "text").mapInArrow(words, "word binary, " + ", ".join(f"{c} long" for c in names)) \
@@ -503,8 +572,8 @@ def hashed_tables(types: DataFrame, bits: tuple[int, ...] = LEAST_BITS) -> Count
         for b in pieces(batches, 1 << 13):
             words, c = [bytes(w) for w in b["word"].to_pylist()], b["c"].to_numpy()
             if words:
-                d = decisions(words, bits=bits)
-                w = c[d.word].astype(np.float32)
+                d = decisions(words, bits=bits, shared=True)
+                w = occurrences(d, c).astype(np.float32)
                 w1 = w * d.bit
                 for k, slots in enumerate(d.slots):
                     np.add.at(own.seen[k], slots, w)
@@ -535,6 +604,7 @@ def hashed_tables(types: DataFrame, bits: tuple[int, ...] = LEAST_BITS) -> Count
 def learn_mixer(sharded: DataFrame, tables, p: Params) -> Mixer:
     """Average of the shards' mixers, each parameter weighted by the events behind it."""
     def train(t: pa.Table) -> pa.Table:
+        t = t.sort_by("word")  # words that begin alike come together
         flat, mass = train_shard([bytes(w) for w in t["word"].to_pylist()], t["c"].to_numpy(), tables.value, p)
         return pa.table({"i": pa.array(np.arange(len(flat), dtype=np.int32)), "v": flat * mass, "n": mass})
 
@@ -581,11 +651,12 @@ def score(docs: DataFrame, held_out: Column, p: Params = Params(), text: str = "
     mixer = spark.sparkContext.broadcast(learn_mixer(sharded, tables, p))
 
     def rate(t: pa.Table) -> pa.Table:
+        t = t.sort_by("word")  # words that begin alike come together
         words, c = [bytes(w) for w in t["word"].to_pylist()], t["c"].to_numpy()
         lp = log10_probabilities(words, tables.value, DeepCounts(words, c), mixer.value)
         by = t["by"].combine_chunks().flatten().to_numpy().reshape(len(words), k)
         scales = class_scales(c, by, shares, p.class_prior)
-        return pa.table({"key": pa.array([word_key(w) for w in words], pa.int64()), "c": t["c"],
+        return pa.table({"key": word_keys(t["word"]), "c": t["c"],
                          "lp": pa.array(lp.astype(np.float32)),
                          "scales": packed(scales)})
 
@@ -595,23 +666,24 @@ def score(docs: DataFrame, held_out: Column, p: Params = Params(), text: str = "
     chunked = near_ids(base, p.per_chunk)
 
     def ask(batches):
-        open_: dict[int, set[bytes]] = {}
-        size = 0
-        for b in pieces(batches, 200):
-            for chunk, x in zip(b["_chunk"].to_pylist(), raw_bytes(b["text"])):
-                own = open_.setdefault(chunk, set())
-                size -= len(own)
-                own.update(tokens(x))
-                size += len(own)
-            if size > p.flush:
+        open_: dict[int, np.ndarray] = {}
+        for b in portions(batches, p.per_chunk):
+            b = b.take(pc.sort_indices(b["_chunk"]))
+            first, token, distinct = token_arrays(b["text"])
+            keys = word_keys(distinct)
+            chunks, begin = np.unique(b["_chunk"].to_numpy(), return_index=True)
+            for chunk, own in zip(chunks.tolist(), np.split(token, first[begin[1:]])):
+                own = keys[np.unique(own)]
+                open_[chunk] = np.union1d(open_[chunk], own) if chunk in open_ else own
+            if sum(map(len, open_.values())) > p.flush:
                 yield from send(open_)
-                open_, size = {}, 0
+                open_ = {}
         yield from send(open_)
 
     def send(open_):
-        for chunk, words in open_.items():
-            yield pa.record_batch([pa.array(np.full(len(words), chunk, np.int64)),
-                                   pa.array([word_key(w) for w in words], pa.int64())], names=["_chunk", "key"])
+        if open_:
+            yield pa.record_batch([pa.array(np.repeat(np.array(list(open_), np.int64), list(map(len, open_.values())))),
+                                   pa.array(np.concatenate(list(open_.values())))], names=["_chunk", "key"])
 
     asked = chunked.select("_chunk", "text").mapInArrow(ask, "_chunk long, key long")
     answers = asked.join(rated, "key").select("_chunk", "key", "c", "lp", "scales")
@@ -619,31 +691,26 @@ def score(docs: DataFrame, held_out: Column, p: Params = Params(), text: str = "
     id_type = dict(base.dtypes)["doc_id"]
 
     def add(rows: pa.Table, words: pa.Table) -> pa.Table:
-        place = {w: i for i, w in enumerate(words["key"].to_pylist())}
-        c, lp = words["c"].to_numpy(), words["lp"].to_numpy().astype(np.float64)
-        scales = unpacked(words["scales"].combine_chunks(), k) * (math.log10(2) / STEPS)
-        values = np.column_stack([c > 0, np.log10(c + 1.0) - floor, lp[:, None] + scales - norms])
-        at: dict[bytes, int] = {}
-        out = []
-        for x in raw_bytes(rows["text"].combine_chunks()):
-            bag = Counter(tokens(x))
-            for w in bag:
-                if w not in at:
-                    at[w] = place[word_key(w)]
-            i = np.fromiter(map(at.__getitem__, bag), np.int64, len(bag))
-            times = np.fromiter(bag.values(), np.float64, len(bag))
-            sums = times @ values[i]
-            logs = sums[2:] + log_shares
-            best = logs.max()
-            model = float(best + np.log10((10 ** (logs - best)).sum()))
-            out.append((int(times.sum()), int(sums[0]), float(sums[1]), model, len(x),
-                        -model * math.log2(10) / len(x) if x else None))
-        n, known_, base_, model, size, bits = zip(*out) if out else [()] * 6
-        return pa.table({"doc_id": rows["doc_id"], "held_out": rows["held_out"], "n_tokens": pa.array(n, pa.int64()),
-                         "n_known": pa.array(known_, pa.int64()),
-                         "train_tokens": pa.array([train_tokens] * len(n), pa.int64()),
-                         "base_score": pa.array(base_, pa.float64()), "score": pa.array(model, pa.float64()),
-                         "n_bytes": pa.array(size, pa.int64()), "bits_per_byte": pa.array(bits, pa.float64())})
+        order = np.argsort(words["key"].to_numpy())
+        key, c, lp = (words[n].to_numpy()[order] for n in ("key", "c", "lp"))
+        scales = unpacked(words["scales"].combine_chunks(), k)[order] * (math.log10(2) / STEPS)
+        values = np.vstack([c > 0, np.log10(c + 1.0) - floor, (lp.astype(np.float64)[:, None] + scales - norms).T])
+        return pa.concat_tables([pa.Table.from_batches([part(b, key, values)])
+                                 for b in portions(rows.combine_chunks().to_batches(), rows.num_rows)])
+
+    def part(b: pa.RecordBatch, key: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        first, token, distinct = token_arrays(b["text"])
+        own = values[:, np.searchsorted(key, word_keys(distinct))]
+        sums = [np.add.reduceat(v[token], first) for v in own]
+        logs = np.column_stack(sums[2:]) + log_shares
+        best = logs.max(axis=1)
+        model = best + np.log10((10 ** (logs - best[:, None])).sum(axis=1))
+        size = pc.fill_null(pc.binary_length(b["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        bits = np.divide(-model * math.log2(10), size, out=np.zeros(len(size)), where=size > 0)
+        return pa.record_batch({"doc_id": b["doc_id"], "held_out": b["held_out"], "n_tokens": np.diff(first, append=len(token)),
+                                "n_known": sums[0].astype(np.int64), "train_tokens": np.full(len(size), train_tokens, np.int64),
+                                "base_score": sums[1], "score": model, "n_bytes": size,
+                                "bits_per_byte": pa.array(bits, mask=size == 0)})
 
     return chunked.groupBy("_chunk").cogroup(answers.groupBy("_chunk")).applyInArrow(
         add, f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
