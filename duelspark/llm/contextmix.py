@@ -263,17 +263,18 @@ def inputs(b: Bits, tables: Counts, deep: DeepCounts, without: float = 0.0):
         x[:, k], longest = logit(*pairs_at(tables.both[k], b.slots[k]), own)
     x[b.deep, -2], longest[b.deep] = logit(*deep.get(b.prefix), own[b.deep])
     x[:, -1] = 0.3
-    g1 = np.minimum(np.log2(longest + 1).astype(np.int32), SEEN - 1)
+    g1 = np.minimum(np.log2(longest + 1).astype(np.intp), SEEN - 1)
     g1[b.deep] += SEEN
-    g2 = b.place * 4 + np.digitize(longest, (1, 16, 256))
-    return np.clip(x, -12, 12), g1, g2
+    g2 = b.place * 4 + ((longest >= 1).astype(np.intp) + (longest >= 16) + (longest >= 256))
+    return np.clip(x, -12, 12, out=x), g1, g2
 
 
 def mixed_logit(m: Mixer, x: np.ndarray, g1: np.ndarray, g2: np.ndarray):
     """Mixed logit and its bin of the map. The weights of both gates are added once for every pair of gates."""
     both = (m.first.astype(np.float32)[:, None] + m.second.astype(np.float32)).reshape(-1, INPUTS)
-    z = np.clip(np.einsum("ij,ij->i", both.take(g1 * GATES[1] + g2, axis=0), x), -15, 15)
-    bins = np.clip(np.rint(z * 2).astype(np.int32) + BINS // 2, 0, BINS - 1)
+    z = np.einsum("ij,ij->i", both.take(g1 * GATES[1] + g2, axis=0), x)
+    z = np.minimum(np.maximum(z, np.float32(-15)), np.float32(15))
+    bins = np.minimum(np.maximum(np.rint(z * 2).astype(np.intp) + BINS // 2, 0), BINS - 1)
     return z.astype(np.float64), bins
 
 
@@ -369,8 +370,12 @@ def token_arrays(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return first[:-1], coded.indices.to_numpy(), coded.dictionary
 
 
-def word_keys(words: pa.Array) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), U, len(words)).view(np.int64)
+def byte_list(words) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist() if isinstance(words, pa.Array) else words.to_numpy().tolist()
+
+
+def word_keys(words) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, byte_list(words)), U, len(words)).view(np.int64)
 
 
 def portions(batches, rows: int, size: int = PORTION):
@@ -405,7 +410,7 @@ def profile(text: bytes) -> np.ndarray:
 def refined(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums (in whole ``PROFILE_UNITS``) and nearest classes of the packed profiles ``x``."""
     near = (x @ centres.T).argmax(axis=1)
-    return np.stack([x[near == k].sum(axis=0, dtype=np.int64) for k in range(len(centres))]), near
+    return ((near == np.arange(len(centres))[:, None]).astype(np.float64) @ x).astype(np.int64), near  # exact: whole, below 2^53
 
 
 def unit(sums: np.ndarray, old: np.ndarray) -> np.ndarray:
@@ -429,31 +434,45 @@ def class_centres(docs: DataFrame, p: Params) -> np.ndarray:
     from the centres of a bounded sample. Sums are whole numbers, so the order of the tasks does not matter."""
     def pack(batches):
         for b in pieces(batches, 1000):
-            packs = [np.round(profile(x) * PROFILE_UNITS).astype(np.uint16).tobytes() for x in raw_bytes(b["text"])]
-            yield pa.record_batch([pa.array(packs, pa.binary()), b["draw"]], names=["profile", "draw"])
+            if b.num_rows:  # byte by byte: those that no text has take no room
+                x = np.stack([np.round(profile(x) * PROFILE_UNITS).astype(np.uint16) for x in raw_bytes(b["text"])])
+                yield pa.record_batch([pa.array([pa.compress(x.T.tobytes(), codec="lz4", asbytes=True)], pa.binary()),
+                                       pa.array([b["draw"].to_pylist()], pa.list_(pa.int32())), pa.array([len(x)], pa.int32())],
+                                      names=["profiles", "draws", "n"])
+
+    def unpack(b: pa.RecordBatch):
+        for profiles, n in zip(b["profiles"].to_pylist(), b["n"].to_pylist()):
+            yield np.frombuffer(pa.decompress(profiles, 512 * n, codec="lz4", asbytes=True), np.uint16).reshape(256, n).T
+
+    def apart(batches):
+        for b in batches:
+            for x, draws in zip(unpack(b), b["draws"].to_pylist()):
+                yield pa.record_batch([pa.array([row.tobytes() for row in x], pa.binary()), pa.array(draws, pa.int32())],
+                                      names=["profile", "draw"])
 
     draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).cast("int").alias("draw")
     stored = materialize(docs.where("NOT held_out AND text <> ''").select("text", draw)
-                         .mapInArrow(pack, "profile binary, draw int"), "class-profiles")
+                         .mapInArrow(pack, "profiles binary, draws array<int>, n int"), "class-profiles")
+    single = stored.mapInArrow(apart, "profile binary, draw int")
 
     def matrix(packs) -> np.ndarray:
-        return np.frombuffer(b"".join(packs), np.uint16).reshape(-1, 256).astype(np.int64)
+        return np.frombuffer(b"".join(packs), np.uint16).reshape(-1, 256).astype(np.float64)
 
-    share = min(1.0, p.class_sample / max(1, stored.count()))
-    some = sorted(r["profile"] for r in stored.where(F.col("draw") < share * (1 << 30)).select("profile").collect()) \
-        or [r["profile"] for r in stored.orderBy("draw", "profile").limit(1).collect()]
+    share = min(1.0, p.class_sample / max(1, stored.agg(F.sum("n")).first()[0] or 0))
+    some = sorted(r["profile"] for r in single.where(F.col("draw") < share * (1 << 30)).select("profile").collect()) \
+        or [r["profile"] for r in single.orderBy("draw", "profile").limit(1).collect()]
     if not some:
         return np.zeros((1, 256))
     centres = first_centres(matrix(some), p.classes)
     for _ in range(CLASS_ROUNDS):
         def add(batches, centres=centres):
             sums = np.zeros((len(centres), 256), np.int64)
-            for b in pieces(batches, 2000):
-                if b.num_rows:
-                    sums += refined(matrix(b["profile"].to_pylist()), centres)[0]
+            for b in batches:
+                for x in unpack(b):
+                    sums += refined(x.astype(np.float64), centres)[0]
             yield pa.record_batch([pa.array(range(len(sums)), pa.int32()), pa.array(sums.tolist())], names=["k", "sums"])
 
-        each = stored.select("profile").mapInArrow(add, "k int, sums array<long>").select("k", F.posexplode("sums").alias("at", "v"))
+        each = stored.select("profiles", "n").mapInArrow(add, "k int, sums array<long>").select("k", F.posexplode("sums").alias("at", "v"))
         total = np.zeros((len(centres), 256))
         for r in each.groupBy("k", "at").agg(F.sum("v").alias("v")).collect():  # classes times 256
             total[r["k"], r["at"]] = r["v"]
@@ -548,7 +567,7 @@ def table_bits(types: DataFrame) -> tuple[int, ...]:
     def sketch(batches):
         low = [np.zeros(0, U)] * len(ORDERS)
         for b in pieces(batches, 1 << 13):
-            words = [bytes(w) for w in b["word"].to_pylist()]
+            words = byte_list(b["word"])
             if words:
                 low = [np.unique(np.concatenate([a, x]))[:SKETCH] for a, x in zip(low, context_keys(words))]
         yield pa.record_batch([pa.array(np.arange(len(ORDERS), dtype=np.int32)),
@@ -570,7 +589,7 @@ def hashed_tables(types: DataFrame, bits: tuple[int, ...] = LEAST_BITS) -> Count
     def add(batches):
         own = Counts(bits)
         for b in pieces(batches, 1 << 13):
-            words, c = [bytes(w) for w in b["word"].to_pylist()], b["c"].to_numpy()
+            words, c = byte_list(b["word"]), b["c"].to_numpy()
             if words:
                 d = decisions(words, bits=bits, shared=True)
                 w = occurrences(d, c).astype(np.float32)
@@ -605,7 +624,7 @@ def learn_mixer(sharded: DataFrame, tables, p: Params) -> Mixer:
     """Average of the shards' mixers, each parameter weighted by the events behind it."""
     def train(t: pa.Table) -> pa.Table:
         t = t.sort_by("word")  # words that begin alike come together
-        flat, mass = train_shard([bytes(w) for w in t["word"].to_pylist()], t["c"].to_numpy(), tables.value, p)
+        flat, mass = train_shard(byte_list(t["word"]), t["c"].to_numpy(), tables.value, p)
         return pa.table({"i": pa.array(np.arange(len(flat), dtype=np.int32)), "v": flat * mass, "n": mass})
 
     rows = sharded.groupBy("shard").applyInArrow(train, "i int, v double, n double") \
@@ -652,7 +671,7 @@ def score(docs: DataFrame, held_out: Column, p: Params = Params(), text: str = "
 
     def rate(t: pa.Table) -> pa.Table:
         t = t.sort_by("word")  # words that begin alike come together
-        words, c = [bytes(w) for w in t["word"].to_pylist()], t["c"].to_numpy()
+        words, c = byte_list(t["word"]), t["c"].to_numpy()
         lp = log10_probabilities(words, tables.value, DeepCounts(words, c), mixer.value)
         by = t["by"].combine_chunks().flatten().to_numpy().reshape(len(words), k)
         scales = class_scales(c, by, shares, p.class_prior)
@@ -666,24 +685,27 @@ def score(docs: DataFrame, held_out: Column, p: Params = Params(), text: str = "
     chunked = near_ids(base, p.per_chunk)
 
     def ask(batches):
-        open_: dict[int, np.ndarray] = {}
+        open_: dict[int, list[np.ndarray]] = {}
+        size = 0
         for b in portions(batches, p.per_chunk):
             b = b.take(pc.sort_indices(b["_chunk"]))
             first, token, distinct = token_arrays(b["text"])
             keys = word_keys(distinct)
             chunks, begin = np.unique(b["_chunk"].to_numpy(), return_index=True)
             for chunk, own in zip(chunks.tolist(), np.split(token, first[begin[1:]])):
-                own = keys[np.unique(own)]
-                open_[chunk] = np.union1d(open_[chunk], own) if chunk in open_ else own
-            if sum(map(len, open_.values())) > p.flush:
+                own = np.flatnonzero(np.bincount(own)) if len(own) > len(keys) >> 3 else np.unique(own)
+                open_.setdefault(chunk, []).append(keys[own])
+                size += len(own)
+            if size > p.flush:
                 yield from send(open_)
-                open_ = {}
+                open_, size = {}, 0
         yield from send(open_)
 
     def send(open_):
-        if open_:
-            yield pa.record_batch([pa.array(np.repeat(np.array(list(open_), np.int64), list(map(len, open_.values())))),
-                                   pa.array(np.concatenate(list(open_.values())))], names=["_chunk", "key"])
+        own = [x[0] if len(x) == 1 else np.unique(np.concatenate(x)) for x in open_.values()]
+        if own:
+            yield pa.record_batch([pa.array(np.repeat(np.array(list(open_), np.int64), list(map(len, own)))),
+                                   pa.array(np.concatenate(own))], names=["_chunk", "key"])
 
     asked = chunked.select("_chunk", "text").mapInArrow(ask, "_chunk long, key long")
     answers = asked.join(rated, "key").select("_chunk", "key", "c", "lp", "scales")
