@@ -17,7 +17,7 @@ online, one pass in batches, on all training words of every shard, each weighted
 count and predicted without its own occurrence; the shards' results are averaged. Scoring leaves weights and counts
 as they are, so a text's score does not depend on the partitioning, and the probabilities of all
 token sequences sum to one. The contexts stay inside a word, so a word has one probability, found
-once for each distinct word of the corpus.
+once for each distinct word of the corpus; words of a block that begin alike share the work on their beginning.
 
 What a document's words share (its language, its kind of junk) enters as a class that scales every
 word's probability by how much more often training documents of that class use the word; the
