@@ -91,7 +91,7 @@ def _round_all(names) -> str:
 
 
 def _features(spark, sf_dir):
-    return M.pre_match(prepared(spark, sf_dir, True), FixtureTables(spark, sf_dir).rankings(), S)
+    return M.pre_match(prepared(spark, sf_dir, True), FixtureTables(spark, sf_dir).rankings(), S, main_only=True)
 
 
 _MF_DOUBLES = [f"{t}_{c}" for c in _DOUBLE_STATE for t in ("w", "l")]
